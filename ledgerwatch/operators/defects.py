@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.draws import BUCKETS, MULTIPLIER, bucket
@@ -47,20 +47,19 @@ def draws_for(rates: Mapping[str, float]) -> dict[str, tuple[int, ...]]:
     return draws
 
 
-def defect_label(
-    draws: Mapping[str, tuple[int, ...]], seed: int = MULTIPLIER, row_id: str = "txn_id"
-) -> Column:
-    """The defect a row is drawn for, or NULL. Sign and zero defects need a positive amount."""
-    drawn = bucket(row_id, seed)
-    label = F.lit(None).cast("string")
+def with_label(
+    staged: DataFrame, draws: Mapping[str, tuple[int, ...]], seed: int = MULTIPLIER
+) -> DataFrame:
+    """Adds `_defect`, the defect a row is drawn for. Sign and zero defects need an amount over 0."""
+    cases = []
     for defect, buckets in draws.items():
-        if not buckets:
-            continue
-        hit = drawn.isin(*buckets)
-        if defect in ("NEG_AMOUNT", "ZERO_AMOUNT"):
-            hit = hit & (F.col("amount") > 0)
-        label = F.when(hit, F.lit(defect)).otherwise(label)
-    return label
+        if buckets:
+            guard = " AND amount > 0" if defect in ("NEG_AMOUNT", "ZERO_AMOUNT") else ""
+            numbers = ", ".join(str(b) for b in buckets)
+            cases.append(f"WHEN _bucket IN ({numbers}){guard} THEN '{defect}'")
+    label = f"CASE {' '.join(cases)} END" if cases else "CAST(NULL AS STRING)"
+    drawn = staged.withColumn("_bucket", bucket("txn_id", seed))
+    return drawn.withColumn("_defect", F.expr(label)).drop("_bucket")
 
 
 def _offset(staged: DataFrame, duplicate_offset: int | None) -> int:
@@ -81,38 +80,26 @@ def inject_defects(
     extra element of an exploded id array. A copy's id is the original's plus
     `duplicate_offset` (by default the highest id there is).
     """
-    draws = draws_for(RATES) if draws is None else draws
-    offset = F.lit(_offset(staged, duplicate_offset)).cast("bigint")
-    label = defect_label(draws, seed)
-
-    def has(defect: str) -> Column:
-        return F.col("_defect") == defect
-
+    offset = _offset(staged, duplicate_offset)
+    labelled = with_label(staged, draws_for(RATES) if draws is None else draws, seed)
     damage = {
-        "step": F.when(has("STEP_OUT_OF_RANGE"), F.lit(-1)),
-        "type": F.when(has("INVALID_TYPE"), F.lit("WIRE")),
-        "amount": F.when(has("NULL_AMOUNT"), F.lit(None).cast(MONEY))
-        .when(has("NEG_AMOUNT"), (-F.col("amount")).cast(MONEY))
-        .when(has("ZERO_AMOUNT"), F.lit(0).cast(MONEY)),
-        "name_orig": F.when(has("BAD_ACCT_FORMAT"), F.concat(F.lit("INVALID_"), "txn_id")),
-        "newbalance_orig": F.when(
-            has("BAL_TAMPERING"), (F.col("newbalance_orig") * F.expr("1.5")).cast(MONEY)
-        ),
+        "step": "IF(_defect <=> 'STEP_OUT_OF_RANGE', -1, step)",
+        "type": "IF(_defect <=> 'INVALID_TYPE', 'WIRE', type)",
+        "amount": "CASE _defect WHEN 'NULL_AMOUNT' THEN NULL"
+        f" WHEN 'NEG_AMOUNT' THEN CAST(-amount AS {MONEY})"
+        f" WHEN 'ZERO_AMOUNT' THEN CAST(0 AS {MONEY}) ELSE amount END",
+        "name_orig": "IF(_defect <=> 'BAD_ACCT_FORMAT', concat('INVALID_', txn_id), name_orig)",
+        "newbalance_orig": "IF(_defect <=> 'BAL_TAMPERING',"
+        f" CAST(newbalance_orig * 1.5 AS {MONEY}), newbalance_orig)",
     }
-    ids = F.when(has("DUP_TXN"), F.array(F.col("txn_id"), F.col("txn_id") + offset)).otherwise(
-        F.array(F.col("txn_id"))
+    copy = f"txn_id + {offset}L"
+    columns = [f"{damage.get(c, c)} AS {c}" for c in staged.columns if c != "txn_id"]
+    damaged = labelled.selectExpr(
+        f"explode(IF(_defect <=> 'DUP_TXN', array(txn_id, {copy}), array(txn_id))) AS txn_id",
+        *columns,
     )
-    columns = [
-        damage[c].otherwise(F.col(c)).alias(c) if c in damage else F.col(c)
-        for c in staged.columns
-        if c != "txn_id"
-    ]
-    damaged = staged.withColumn("_defect", label).select(F.explode(ids).alias("txn_id"), *columns)
-    logged_id = F.when(has("DUP_TXN"), F.col("txn_id") + offset).otherwise(F.col("txn_id"))
-    log = (
-        staged.withColumn("_defect", label)
-        .where(F.col("_defect").isNotNull())
-        .select(logged_id.alias("txn_id"), F.col("_defect").alias("defect_type"))
+    log = labelled.where("_defect IS NOT NULL").selectExpr(
+        f"IF(_defect = 'DUP_TXN', {copy}, txn_id) AS txn_id", "_defect AS defect_type"
     )
     return damaged, log
 

@@ -11,6 +11,7 @@ settlement rules move the fact, by its own id.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
 
@@ -148,7 +149,7 @@ def velocity_findings(fact: DataFrame) -> DataFrame:
         .withColumn("_block", F.explode(blocks))
         .withColumn("arrivals", F.sum("n").over(frame))
         .where(F.col("_block").eqNullSafe(F.col("_own")) & (F.col("arrivals") > VELOCITY_LIMIT))
-        .select("name_dest", "step", "n")
+        .select("name_dest", "step", "n", "arrivals")
     )
 
 
@@ -182,13 +183,11 @@ def settlement_hits(wh: Warehouse, rules: dict[str, Rule]) -> DataFrame:
     return _tagged(joined, [_code(rules, code, test) for code, test in tests.items() if code in rules])
 
 
-def reference_hits(wh: Warehouse, rule: Rule, limits: Limits) -> DataFrame:
+def reference_hits(wh: Warehouse, rule: Rule, lookup: Lookup) -> DataFrame:
     """Transactions of every settlement but the first under one reference.
 
     The first is the lowest txn_id, NULL last. If two rows share it, one of them is a repeat.
     """
-    keys = ("settlement_ref",)
-    lookup = make_lookup(reference_findings(wh.settlements), keys, limits)
     rows = join_back(wh.settlements.select("settlement_ref", "txn_id"), lookup)
     return (
         rows.groupBy("settlement_ref", "txn_id", "first_id")
@@ -226,19 +225,49 @@ def _by_kind(rules: Iterable[Rule]) -> dict[str, dict[str, Rule]]:
     return kinds
 
 
+# the test on a fact row beside the findings about its key
+KEY_TESTS = {
+    COPIES: "txn_id > first_id",
+    OUTLIER: "amount > ceiling",
+    VELOCITY: "arrivals IS NOT NULL",
+}
+
+
+def _lookups(
+    wh: Warehouse, kinds: dict[str, dict[str, Rule]], limits: Limits
+) -> dict[str, Lookup]:
+    """The findings the active rules need. They do not depend on each other and run side by side."""
+    findings = {
+        ACCOUNT: (lambda: account_findings(wh), ("account",)),
+        COPIES: (lambda: copy_findings(wh.fact), BUSINESS_KEY),
+        OUTLIER: (lambda: outlier_findings(wh.fact), ("type",)),
+        VELOCITY: (lambda: velocity_findings(wh.fact), ("name_dest", "step")),
+        REFERENCE: (lambda: reference_findings(wh.settlements), ("settlement_ref",)),
+    }
+    wanted = {kind: found for kind, found in findings.items() if kind in kinds}
+    if not wanted:
+        return {}
+    with ThreadPoolExecutor(len(wanted)) as pool:
+        jobs = {
+            kind: pool.submit(lambda make=make, keys=keys: make_lookup(make(), keys, limits))
+            for kind, (make, keys) in wanted.items()
+        }
+        return {kind: job.result() for kind, job in jobs.items()}
+
+
 def failing(
     wh: Warehouse, rules: Iterable[Rule], as_of: datetime, limits: Limits = Limits()
 ) -> DataFrame:
     """(rule_id, txn_id) of every active rule, each pair once given that txn_id is a key."""
     kinds = _by_kind(rules)
     scan, codes, parts = wh.fact, [], []
+    lookups = _lookups(wh, kinds, limits)
 
     for rule in kinds.get(ROW, {}).values():
         codes.append(F.when(predicate(rule, as_of), F.lit(rule.rule_id)))
 
-    if ACCOUNT in kinds:
-        wanted = kinds[ACCOUNT]
-        lookup = make_lookup(account_findings(wh), ("account",), limits)
+    if ACCOUNT in lookups:
+        wanted, lookup = kinds[ACCOUNT], lookups[ACCOUNT]
         if lookup.fits:
             for side in ("orig", "dest"):
                 named = lookup.frame.select(
@@ -257,31 +286,26 @@ def failing(
         else:
             parts.append(_account_hits_shuffled(wh, wanted, lookup))
 
-    row_like = (
-        (COPIES, copy_findings, BUSINESS_KEY, F.col("txn_id") > F.col("first_id")),
-        (OUTLIER, outlier_findings, ("type",), F.col("amount") > F.col("ceiling")),
-        (VELOCITY, velocity_findings, ("name_dest", "step"), F.col("fast")),
-    )
-    for kind, findings, keys, test in row_like:
-        for rule in kinds.get(kind, {}).values():
-            found = findings(wh.fact)
-            if kind == VELOCITY:
-                found = found.withColumn("fast", F.lit(True))
-            lookup = make_lookup(found, keys, limits)
-            if lookup.fits:
-                scan = attach(scan, lookup)
-                codes.append(F.when(test, F.lit(rule.rule_id)))
-            else:
-                columns = dict.fromkeys(("txn_id", "amount", *keys))
-                rows = join_back(wh.fact.select(*columns), lookup)
-                parts.append(rows.where(test).select(F.lit(rule.rule_id).alias("rule_id"), "txn_id"))
+    for kind, test in KEY_TESTS.items():
+        if kind not in lookups:
+            continue
+        lookup = lookups[kind]
+        (rule,) = kinds[kind].values()
+        if lookup.fits:
+            scan = attach(scan, lookup)
+            codes.append(F.when(F.expr(test), F.lit(rule.rule_id)))
+        else:
+            columns = dict.fromkeys(("txn_id", "amount", *lookup.keys))
+            rows = join_back(wh.fact.select(*columns), lookup)
+            hits = rows.where(F.expr(test))
+            parts.append(hits.select(F.lit(rule.rule_id).alias("rule_id"), "txn_id"))
 
     if codes:
         parts.append(_tagged(scan, codes))
     if SETTLEMENT in kinds:
         parts.append(settlement_hits(wh, kinds[SETTLEMENT]))
     for rule in kinds.get(REFERENCE, {}).values():
-        parts.append(reference_hits(wh, rule, limits))
+        parts.append(reference_hits(wh, rule, lookups[REFERENCE]))
     for rule in kinds.get(MODEL, {}).values():
         if wh.scores is None:
             raise ValueError(f"{rule.rule_code} is active but there are no scores")

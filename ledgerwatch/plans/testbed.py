@@ -8,91 +8,83 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.draws import bucket
-from ledgerwatch.functions.expressions import MONEY, event_time
-from ledgerwatch.operators.catalog import Rule, catalog_frame
+from ledgerwatch.functions.expressions import event_time
+from ledgerwatch.operators.catalog import Rule
 from ledgerwatch.operators.defects import TEST_DRAWS, inject_defects
 from ledgerwatch.operators.warehouse import Warehouse, build_warehouse
 
 AS_OF = datetime(2026, 1, 20)
 COPY_OFFSET = 10_000_000
-TYPES = ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER")
+
+
+# The columns that are read; declaring them spares a schema lookup per table.
+COLUMNS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions as the bank would book them, with a few wrong by nature of the source."""
-    k = F.col("k")
-    orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
-    types = F.array(*[F.lit(t) for t in TYPES])
-    base = orders.select(
-        (F.col("o_orderkey") + 1).alias("txn_id"),
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("ck"),
+    base = table(spark, sf_dir, "orders").select(
+        F.expr("o_orderkey + 1").alias("txn_id"),
+        F.expr("o_orderkey").alias("k"),
+        F.expr("o_custkey").alias("ck"),
+        customers.alias("customers"),
         F.expr(
             "CAST(IF(o_orderkey % 7 = 5, 100 + o_orderkey % 4, o_orderkey * 7919 % 744) AS INT)"
         ).alias("step"),
-        F.get(types, (F.col("o_orderkey") % 5).cast("int")).alias("type"),
+        F.expr(
+            "get(array('CASH_IN', 'CASH_OUT', 'DEBIT', 'PAYMENT', 'TRANSFER'),"
+            " CAST(o_orderkey % 5 AS INT))"
+        ).alias("type"),
         F.expr("CAST(IF(o_orderkey % 499 = 11, o_totalprice * 40, o_totalprice) AS DECIMAL(18,2))")
         .alias("amount"),
     )
-    cash_in = F.col("type") == "CASH_IN"
-    merchant = (F.col("type") == "PAYMENT") & (k % 401 != 3)
-    other = F.concat(F.lit("C"), (F.col("ck") * 31 + k) % customers)
-    own = F.concat(F.lit("C"), "ck")
-    amount = F.col("amount")
-    return base.select(
+    return base.selectExpr(
         "txn_id",
         "step",
         "type",
         "amount",
-        own.alias("name_orig"),
-        (amount + k % 1000).cast(MONEY).alias("oldbalance_org"),
-        F.when(cash_in, amount + k % 1000 + amount)
-        .otherwise(k % 1000)
-        .cast(MONEY)
-        .alias("newbalance_orig"),
-        F.when(merchant, F.concat(F.lit("M"), k % 3))
-        .when(k % 307 == 1, own)
-        .otherwise(other)
-        .alias("name_dest"),
-        (amount + k % 500).cast(MONEY).alias("oldbalance_dest"),
-        F.when(cash_in, k % 500)
-        .otherwise(amount + k % 500 + amount)
-        .cast(MONEY)
-        .alias("newbalance_dest"),
-        F.when(k % 499 == 11, 1).otherwise(0).cast("smallint").alias("is_fraud"),
-        F.when((F.col("type") == "TRANSFER") & (amount > 200000) & (k % 3 == 0), 1)
-        .otherwise(0)
-        .cast("smallint")
-        .alias("is_flagged_fraud"),
+        "concat('C', ck) AS name_orig",
+        "CAST(amount + k % 1000 AS DECIMAL(18,2)) AS oldbalance_org",
+        "CAST(IF(type = 'CASH_IN', amount + k % 1000 + amount, k % 1000) AS DECIMAL(18,2))"
+        " AS newbalance_orig",
+        "CASE WHEN type = 'PAYMENT' AND k % 401 <> 3 THEN concat('M', k % 3)"
+        " WHEN k % 307 = 1 THEN concat('C', ck)"
+        " ELSE concat('C', (ck * 31 + k) % customers) END AS name_dest",
+        "CAST(amount + k % 500 AS DECIMAL(18,2)) AS oldbalance_dest",
+        "CAST(IF(type = 'CASH_IN', k % 500, amount + k % 500 + amount) AS DECIMAL(18,2))"
+        " AS newbalance_dest",
+        "CAST(IF(k % 499 = 11, 1, 0) AS SMALLINT) AS is_fraud",
+        "CAST(IF(type = 'TRANSFER' AND amount > 200000 AND k % 3 = 0, 1, 0) AS SMALLINT)"
+        " AS is_flagged_fraud",
     )
 
 
 def with_source_defects(clean: DataFrame) -> DataFrame:
     """Defects the injector does not make: NULL type and parties, NULL and negative balances."""
-    drawn = bucket()
-
-    def put(column: str, number: int, value: Column) -> Column:
-        return F.when(drawn == number, value).otherwise(F.col(column)).alias(column)
-
-    text, money = F.lit(None).cast("string"), F.lit(None).cast(MONEY)
     changed = {
-        "type": put("type", 20, text),
-        "name_orig": put("name_orig", 21, text),
-        "name_dest": put("name_dest", 22, text),
-        "newbalance_dest": put("newbalance_dest", 23, money),
-        "oldbalance_org": put("oldbalance_org", 24, F.lit(-5).cast(MONEY)),
-        "oldbalance_dest": put("oldbalance_dest", 25, F.lit(-7).cast(MONEY)),
+        "type": "IF(_b = 20, NULL, type)",
+        "name_orig": "IF(_b = 21, NULL, name_orig)",
+        "name_dest": "IF(_b = 22, NULL, name_dest)",
+        "newbalance_dest": "IF(_b = 23, NULL, newbalance_dest)",
+        "oldbalance_org": "IF(_b = 24, CAST(-5 AS DECIMAL(18,2)), oldbalance_org)",
+        "oldbalance_dest": "IF(_b = 25, CAST(-7 AS DECIMAL(18,2)), oldbalance_dest)",
     }
-    return clean.select(*[changed.get(c, F.col(c)) for c in clean.columns])
+    return clean.withColumn("_b", bucket()).selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in clean.columns]
+    )
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -102,40 +94,36 @@ def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    states = F.array(*[F.lit(s) for s in ("VERIFIED", "PENDING", "EXPIRED", "REJECTED")])
-    listed = F.when(key % 199 != 7, 1).otherwise(0) + F.when(key % 211 == 3, 1).otherwise(0)
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         table(spark, sf_dir, "customer")
-        .withColumn("_listed", listed)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_listed"))))
-        .select(
-            F.concat(F.lit("C"), key).alias("account_id"),
-            F.col("c_mktsegment").alias("segment"),
-            F.get(states, (key % 4).cast("int")).alias("kyc_status"),
-            F.col("n_name").alias("country"),
-            F.date_add(F.lit("2020-01-01").cast("date"), (key % 1825).cast("int")).alias(
-                "opened_date"
-            ),
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            "*",
+            "explode(array_repeat(1, IF(c_custkey % 199 <> 7, 1, 0) + IF(c_custkey % 211 = 3, 1, 0)))"
+            " AS _copy",
+        )
+        .selectExpr(
+            "concat('C', c_custkey) AS account_id",
+            "c_mktsegment AS segment",
+            "get(array('VERIFIED', 'PENDING', 'EXPIRED', 'REJECTED'), CAST(c_custkey % 4 AS INT))"
+            " AS kyc_status",
+            "n_name AS country",
+            "date_add(DATE '2020-01-01', CAST(c_custkey % 1825 AS INT)) AS opened_date",
         )
     )
 
 
 def settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, amount = F.col("txn_id"), F.col("amount")
-    late = F.when(key % 103 == 9, 3 + (key % 5).cast("int")).otherwise(1)
-    day = F.floor(F.col("step") / 24).cast("int")
-    number = F.when(key % 307 == 5, key - 1).otherwise(key).cast("string")
     return (
         clean_transactions(spark, sf_dir)
-        .where(key % 101 != 1)
-        .select(
-            F.concat(F.lit("SET"), F.lpad(number, 10, "0")).alias("settlement_ref"),
+        .where("txn_id % 101 <> 1")
+        .selectExpr(
+            "concat('SET', lpad(CAST(IF(txn_id % 307 = 5, txn_id - 1, txn_id) AS STRING), 10, '0'))"
+            " AS settlement_ref",
             "txn_id",
-            F.when(key % 199 == 3, (amount + 1).cast(MONEY)).otherwise(amount).alias("settled_amount"),
-            F.date_add(F.lit("2026-01-01").cast("date"), day + late).alias("settlement_date"),
+            "IF(txn_id % 199 = 3, CAST(amount + 1 AS DECIMAL(18,2)), amount) AS settled_amount",
+            "date_add(DATE '2026-01-01', CAST(floor(step / 24) AS INT)"
+            " + IF(txn_id % 103 = 9, 3 + CAST(txn_id % 5 AS INT), 1)) AS settlement_date",
         )
     )
 
@@ -170,7 +158,3 @@ def daily_run_log(fact: DataFrame, hits: DataFrame, rules: list[Rule]) -> DataFr
         "records_checked",
         F.coalesce("records_failed", F.lit(0)).cast("bigint").alias("records_failed"),
     )
-
-
-def catalog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    return catalog_frame(spark, rules)
