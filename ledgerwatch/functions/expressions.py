@@ -27,15 +27,3 @@ def typed(name: str, sql_type: str, tolerant: bool = False) -> Column:
 def event_time(step: str = "step") -> Column:
     """Hour number to timestamp without zone."""
     return F.expr(f"TIMESTAMP_NTZ '{TIME_ORIGIN}' + `{step}` * INTERVAL '1' HOUR")
-
-
-def same(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
-
-
-def all_same(left, right, keys) -> Column:
-    """Null-safe equality of the named columns of two frames."""
-    condition = same(left[keys[0]], right[keys[0]])
-    for key in keys[1:]:
-        condition = condition & same(left[key], right[key])
-    return condition

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.expressions import all_same
 from ledgerwatch.session import settle
 
 
@@ -48,16 +47,26 @@ def make_lookup(findings: DataFrame, keys: tuple[str, ...], limits: Limits = Lim
     return Lookup(frame, keys, seen["rows"] <= limits.rows and size <= limits.bytes, limits)
 
 
+def _renamed(frame: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The keys under names of their own, so that both sides of a join stay apart."""
+    return frame.select(*[F.col(c).alias(f"_key_{c}" if c in keys else c) for c in frame.columns])
+
+
+def _same_key(keys: tuple[str, ...], on: tuple[str, ...] | None = None):
+    pairs = [F.col(ours).eqNullSafe(F.col(f"_key_{key}")) for ours, key in zip(on or keys, keys)]
+    condition = pairs[0]
+    for pair in pairs[1:]:
+        condition = condition & pair
+    return condition
+
+
 def attach(rows: DataFrame, lookup: Lookup, how: str = "left", on: tuple[str, ...] | None = None):
     """Map-side join with a lookup that fits; `on` names the row columns if they differ."""
     if not lookup.fits:
         raise ValueError("lookup is above the broadcast bound, use join_back")
-    side = lookup.frame.drop("n")
-    condition = None
-    for ours, theirs in zip(on or lookup.keys, lookup.keys):
-        part = rows[ours].eqNullSafe(side[theirs])
-        condition = part if condition is None else condition & part
-    return rows.join(F.broadcast(side), condition, how).drop(*(side[k] for k in lookup.keys))
+    keys = lookup.keys
+    side = F.broadcast(_renamed(lookup.frame.drop("n"), keys))
+    return rows.join(side, _same_key(keys, on), how).drop(*[f"_key_{key}" for key in keys])
 
 
 def join_back(rows: DataFrame, lookup: Lookup) -> DataFrame:
@@ -71,12 +80,8 @@ def join_back(rows: DataFrame, lookup: Lookup) -> DataFrame:
         .limit(limits.hot_keys)
     )
     heavy = attach(rows, Lookup(hot, keys, True, limits), "inner")
-    hot_keys = hot.select(*keys)
-    cold_rows = rows.join(F.broadcast(hot_keys), all_same(rows, hot_keys, keys), "left_anti")
-    side = lookup.frame.join(
-        F.broadcast(hot_keys), all_same(lookup.frame, hot_keys, keys), "left_anti"
-    ).drop("n")
-    light = cold_rows.join(side, all_same(cold_rows, side, keys), "inner").drop(
-        *(side[k] for k in keys)
-    )
+    hot_keys = F.broadcast(_renamed(hot.select(*keys), keys))
+    cold_rows = rows.join(hot_keys, _same_key(keys), "left_anti")
+    cold = _renamed(lookup.frame.join(hot_keys, _same_key(keys), "left_anti").drop("n"), keys)
+    light = cold_rows.join(cold, _same_key(keys), "inner").drop(*[f"_key_{key}" for key in keys])
     return heavy.unionByName(light)

@@ -37,7 +37,9 @@ CONTAMINATION = 0.005
 EULER = 0.5772156649015329
 
 DEPTH = 8  # log2 of the bag size
-POOL = 4 * TREES * BAG  # rows the bags are drawn from
+SURPLUS = 2  # bag candidates drawn per bag row
+FEW_ROWS = 4 * BAG  # up to here every row is tried for every tree
+SPREAD_ROWS = 5_000_000  # up to here an input may be a few files, and scoring is worth a shuffle
 DRAWS = 1 << 40
 
 NODES = (
@@ -92,26 +94,38 @@ def _draw(*columns: Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(DRAWS))
 
 
-def bags(rows: DataFrame, trees: int = TREES, bag: int = BAG, seed: int = SEED) -> DataFrame:
-    """Rows of each tree's bag, with their rank in it.
+def bags(
+    rows: DataFrame, count: int, trees: int = TREES, bag: int = BAG, seed: int = SEED
+) -> DataFrame:
+    """The rows of each tree's bag, with their rank in it; `count` is the number of rows.
 
-    A pool is drawn first, so only a bounded number of rows is tried against every tree.
-    The chance is half as much again as needed; the lowest draws make up the bag.
+    A bag is the rows with the lowest draws for that tree. Candidates are found by drawing
+    trees for rows, twice as many as needed in all: with many rows most draw none, so the
+    work after the first hash does not grow with the table.
     """
-    count = rows.count()
     if count == 0:
         raise ValueError("no rows to train on")
-    pool_share = min(1.0, POOL / count)
-    tree_share = min(1.0, 1.5 * bag / (count * pool_share))
-    pool = rows.where(_draw(F.col("txn_id"), F.lit(seed)) < F.lit(int(pool_share * DRAWS)))
-    tried = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_draw", _draw(F.col("txn_id"), F.col("tree"), F.lit(seed))
-    )
+    key, salt = F.col("txn_id"), F.lit(seed)
+    if count <= FEW_ROWS:
+        tried = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        wanted = SURPLUS * trees * bag / count  # draws per row
+        turns = math.ceil(wanted)
+        lucky = F.lit(int(wanted / turns * DRAWS))
+        turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))) if turns > 1 else F.lit(0)
+        tried = (
+            rows.withColumn("_turn", turn)
+            .where(_draw(key, F.col("_turn"), salt) < lucky)
+            .withColumn("tree", F.pmod(F.xxhash64(F.col("_turn"), key, salt), F.lit(trees)))
+            .drop("_turn")
+        )
     order = Window.partitionBy("tree").orderBy("_draw", "txn_id")
     return (
-        tried.where(F.col("_draw") < F.lit(int(tree_share * DRAWS)))
-        .withColumn("rank", F.row_number().over(order))
+        tried.withColumn("tree", F.col("tree").cast("int"))
+        .withColumn("_draw", _draw(key, F.col("tree"), salt))
+        .withColumn("rank", F.dense_rank().over(order))  # a tree drawn twice is one place
         .where(F.col("rank") <= bag)
+        .dropDuplicates(["tree", "rank"])
         .drop("_draw", "is_fraud")
     )
 
@@ -158,10 +172,17 @@ def _grow(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
     return pd.DataFrame(nodes, columns=[part.split()[0] for part in NODES.split(", ")])
 
 
-def train(rows: DataFrame, trees: int = TREES, bag: int = BAG, seed: int = SEED) -> DataFrame:
+def train(
+    rows: DataFrame,
+    trees: int = TREES,
+    bag: int = BAG,
+    seed: int = SEED,
+    count: int | None = None,
+) -> DataFrame:
     """The forest as a table of nodes: at most `trees * 511` rows."""
+    count = rows.count() if count is None else count
     return (
-        bags(rows, trees, bag, seed)
+        bags(rows, count, trees, bag, seed)
         .groupBy("tree")
         .applyInPandas(lambda pdf: _grow(pdf, seed), NODES)
     )
@@ -211,27 +232,48 @@ def pack(nodes: DataFrame) -> Forest:
 
 
 def walk(forest: Forest, matrix: np.ndarray) -> np.ndarray:
-    """Scores of the columns of a (features, rows) matrix; higher is more unusual."""
-    count = matrix.shape[1]
-    flat, lane = matrix.ravel(), np.arange(count)
-    start = np.arange(matrix.shape[0]) * count
+    """Scores of the columns of a (features, rows) matrix; higher is more unusual.
+
+    All rows go down one tree at a time. The buffers are reused, as this is the one place
+    where every row meets every tree.
+    """
+    count, inner = matrix.shape[1], 2**DEPTH - 1
+    values, lane = matrix.ravel(), np.arange(count, dtype=np.int32)
     total = np.zeros(count)
-    inner = 2**DEPTH - 1
-    for feature, above, upto, path in zip(forest.feature, forest.above, forest.upto, forest.path):
-        offset = start[feature]
-        node = np.zeros(count, dtype=np.intp)
+    slot = np.empty(count, dtype=np.int32)
+    value, bound = np.empty(count), np.empty(count)
+    right, inside = np.empty(count, dtype=bool), np.empty(count, dtype=bool)
+    starts = (forest.feature * count).astype(np.int32)
+    bounded = np.isfinite(forest.upto).any(axis=1)
+    for tree, start in enumerate(starts):
+        node = np.zeros(count, dtype=np.int32)
         for _ in range(DEPTH):
-            value = flat.take(offset.take(node) + lane)
-            right = (value > above.take(node)) & (value <= upto.take(node))
-            node = 2 * node + 1 + right
-        total += path.take(node - inner)
-    depth = total / len(forest.feature)
+            start.take(node, out=slot, mode="clip")
+            slot += lane
+            values.take(slot, out=value, mode="clip")
+            forest.above[tree].take(node, out=bound, mode="clip")
+            np.greater(value, bound, out=right)
+            if bounded[tree]:
+                forest.upto[tree].take(node, out=bound, mode="clip")
+                np.less_equal(value, bound, out=inside)
+                right &= inside
+            node *= 2
+            node += 1
+            node += right
+        total += forest.path[tree].take(node - inner)
+    depth = total / len(starts)
     return 2.0 ** (-depth / forest.norm) if forest.norm > 0 else np.full(count, 0.5)
 
 
-def score(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(txn_id, is_fraud, type, score) of every row."""
-    forest = rows.sparkSession.sparkContext.broadcast(pack(nodes))
+def score(rows: DataFrame, nodes: DataFrame, count: int | None = None) -> DataFrame:
+    """(txn_id, is_fraud, type, score) of every row.
+
+    The `count` of a small input, if known, has it dealt out to all cores first.
+    """
+    context = rows.sparkSession.sparkContext
+    forest = context.broadcast(pack(nodes))
+    if count is not None and count <= SPREAD_ROWS:
+        rows = rows.repartition(context.defaultParallelism, "txn_id")
 
     @F.pandas_udf("double")
     def forest_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -47,19 +47,14 @@ def draws_for(rates: Mapping[str, float]) -> dict[str, tuple[int, ...]]:
     return draws
 
 
-def with_label(
-    staged: DataFrame, draws: Mapping[str, tuple[int, ...]], seed: int = MULTIPLIER
-) -> DataFrame:
-    """Adds `_defect`, the defect a row is drawn for. Sign and zero defects need an amount over 0."""
-    cases = []
-    for defect, buckets in draws.items():
-        if buckets:
-            guard = " AND amount > 0" if defect in ("NEG_AMOUNT", "ZERO_AMOUNT") else ""
-            numbers = ", ".join(str(b) for b in buckets)
-            cases.append(f"WHEN _bucket IN ({numbers}){guard} THEN '{defect}'")
-    label = f"CASE {' '.join(cases)} END" if cases else "CAST(NULL AS STRING)"
-    drawn = staged.withColumn("_bucket", bucket("txn_id", seed))
-    return drawn.withColumn("_defect", F.expr(label)).drop("_bucket")
+def _hits(draws: Mapping[str, tuple[int, ...]]) -> dict[str, str]:
+    """The condition under which a row gets each defect. Sign and zero need an amount over 0."""
+    conditions = {}
+    for defect in RATES:
+        numbers = ", ".join(str(b) for b in draws.get(defect, ())) or "NULL"
+        guard = " AND amount > 0" if defect in ("NEG_AMOUNT", "ZERO_AMOUNT") else ""
+        conditions[defect] = f"(_bucket IN ({numbers}){guard})"
+    return conditions
 
 
 def _offset(staged: DataFrame, duplicate_offset: int | None) -> int:
@@ -81,26 +76,27 @@ def inject_defects(
     `duplicate_offset` (by default the highest id there is).
     """
     offset = _offset(staged, duplicate_offset)
-    labelled = with_label(staged, draws_for(RATES) if draws is None else draws, seed)
+    hit = _hits(draws_for(RATES) if draws is None else draws)
+    drawn = staged.withColumn("_bucket", bucket("txn_id", seed))
     damage = {
-        "step": "IF(_defect <=> 'STEP_OUT_OF_RANGE', -1, step)",
-        "type": "IF(_defect <=> 'INVALID_TYPE', 'WIRE', type)",
-        "amount": "CASE _defect WHEN 'NULL_AMOUNT' THEN NULL"
-        f" WHEN 'NEG_AMOUNT' THEN CAST(-amount AS {MONEY})"
-        f" WHEN 'ZERO_AMOUNT' THEN CAST(0 AS {MONEY}) ELSE amount END",
-        "name_orig": "IF(_defect <=> 'BAD_ACCT_FORMAT', concat('INVALID_', txn_id), name_orig)",
-        "newbalance_orig": "IF(_defect <=> 'BAL_TAMPERING',"
+        "step": f"IF({hit['STEP_OUT_OF_RANGE']}, -1, step)",
+        "type": f"IF({hit['INVALID_TYPE']}, 'WIRE', type)",
+        "amount": f"CASE WHEN {hit['NULL_AMOUNT']} THEN NULL"
+        f" WHEN {hit['NEG_AMOUNT']} THEN CAST(-amount AS {MONEY})"
+        f" WHEN {hit['ZERO_AMOUNT']} THEN CAST(0 AS {MONEY}) ELSE amount END",
+        "name_orig": f"IF({hit['BAD_ACCT_FORMAT']}, concat('INVALID_', txn_id), name_orig)",
+        "newbalance_orig": f"IF({hit['BAL_TAMPERING']},"
         f" CAST(newbalance_orig * 1.5 AS {MONEY}), newbalance_orig)",
     }
-    copy = f"txn_id + {offset}L"
+    copied, copy = hit["DUP_TXN"], f"txn_id + {offset}L"
     columns = [f"{damage.get(c, c)} AS {c}" for c in staged.columns if c != "txn_id"]
-    damaged = labelled.selectExpr(
-        f"explode(IF(_defect <=> 'DUP_TXN', array(txn_id, {copy}), array(txn_id))) AS txn_id",
-        *columns,
-    )
-    log = labelled.where("_defect IS NOT NULL").selectExpr(
-        f"IF(_defect = 'DUP_TXN', {copy}, txn_id) AS txn_id", "_defect AS defect_type"
+    damaged = drawn.selectExpr(
+        f"explode(IF({copied}, array(txn_id, {copy}), array(txn_id))) AS txn_id", *columns
     )
+    label = " ".join(f"WHEN {condition} THEN '{defect}'" for defect, condition in hit.items())
+    log = drawn.selectExpr(
+        f"IF({copied}, {copy}, txn_id) AS txn_id", f"CASE {label} END AS defect_type"
+    ).where("defect_type IS NOT NULL")
     return damaged, log
 
 

@@ -48,8 +48,9 @@ def run_rules(
 def score_transactions(wh: Warehouse, trees: int = anomaly.TREES, seed: int = anomaly.SEED):
     """(txn_id, is_fraud, type, score, is_anomaly): train, score into a written table, flag."""
     rows = anomaly.features(wh.fact)
-    forest, _ = settle(anomaly.train(rows, trees, seed=seed))
-    scored, _ = settle(anomaly.score(rows, forest))
+    count = rows.count()
+    forest, _ = settle(anomaly.train(rows, trees, seed=seed, count=count))
+    scored, _ = settle(anomaly.score(rows, forest, count))
     return anomaly.flag(scored)
 
 
