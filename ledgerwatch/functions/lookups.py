@@ -69,19 +69,27 @@ def attach(rows: DataFrame, lookup: Lookup, how: str = "left", on: tuple[str, ..
     return rows.join(side, _same_key(keys, on), how).drop(*[f"_key_{key}" for key in keys])
 
 
-def join_back(rows: DataFrame, lookup: Lookup) -> DataFrame:
-    """Rows whose (null-safe) key is in the lookup, with the lookup's columns."""
+def heaviest(counts: DataFrame, keys: tuple[str, ...], limits: Limits) -> DataFrame:
+    """The keys with most rows: at most `hot_keys` of them, ties in a fixed order."""
+    ranked = counts.where(F.col("n") >= limits.hot_rows).orderBy(F.desc("n"), *keys)
+    return ranked.limit(limits.hot_keys).select(*keys)
+
+
+def join_back(rows: DataFrame, lookup: Lookup, heavy: DataFrame | None = None) -> DataFrame:
+    """Rows whose (null-safe) key is in the lookup, with the lookup's columns.
+
+    `heavy` names the heaviest keys of the rows. It is needed if a key without findings
+    can be heavy too; by default the heaviest keys of the lookup are taken.
+    """
     if lookup.fits:
         return attach(rows, lookup, "inner")
-    limits, keys = lookup.limits, lookup.keys
-    hot = (
-        lookup.frame.where(F.col("n") >= limits.hot_rows)
-        .orderBy(F.desc("n"), *keys)
-        .limit(limits.hot_keys)
-    )
-    heavy = attach(rows, Lookup(hot, keys, True, limits), "inner")
-    hot_keys = F.broadcast(_renamed(hot.select(*keys), keys))
-    cold_rows = rows.join(hot_keys, _same_key(keys), "left_anti")
-    cold = _renamed(lookup.frame.join(hot_keys, _same_key(keys), "left_anti").drop("n"), keys)
-    light = cold_rows.join(cold, _same_key(keys), "inner").drop(*[f"_key_{key}" for key in keys])
-    return heavy.unionByName(light)
+    keys = lookup.keys
+    if heavy is None:
+        heavy = heaviest(lookup.frame, keys, lookup.limits)
+    hot = F.broadcast(_renamed(heavy, keys))
+    found_hot = lookup.frame.join(hot, _same_key(keys), "left_semi")
+    heavy_rows = attach(rows, Lookup(found_hot, keys, True, lookup.limits), "inner")
+    cold_rows = rows.join(hot, _same_key(keys), "left_anti")
+    cold = _renamed(lookup.frame.join(hot, _same_key(keys), "left_anti").drop("n"), keys)
+    light_rows = cold_rows.join(cold, _same_key(keys), "inner").drop(*[f"_key_{key}" for key in keys])
+    return heavy_rows.unionByName(light_rows)

@@ -18,7 +18,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.lookups import Limits, Lookup, attach, join_back, make_lookup
+from ledgerwatch.functions.lookups import (
+    Limits,
+    Lookup,
+    attach,
+    heaviest,
+    join_back,
+    make_lookup,
+)
 from ledgerwatch.operators.catalog import (
     ACCOUNT,
     COPIES,
@@ -32,6 +39,7 @@ from ledgerwatch.operators.catalog import (
     Rule,
 )
 from ledgerwatch.operators.warehouse import Warehouse
+from ledgerwatch.session import settle
 
 BUSINESS_KEY = ("name_orig", "name_dest", "amount", "step", "type")
 
@@ -63,18 +71,23 @@ def predicate(rule: Rule, as_of: datetime) -> Column:
 # --- findings about keys ------------------------------------------------------------
 
 
+def accounts_in_use(fact: DataFrame) -> DataFrame:
+    """Accounts of either side, with the number of rows they are in."""
+    return (
+        fact.select(F.explode(F.array("name_orig", "name_dest")).alias("account"))
+        .where("account IS NOT NULL")
+        .groupBy("account")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def account_findings(wh: Warehouse) -> DataFrame:
     """Accounts in use that the customer dimension lacks or the master repeats.
 
     All three inputs are folded to one row per account first, so the joins need no
     further shuffle and meet no hot key.
     """
-    used = (
-        wh.fact.select(F.explode(F.array("name_orig", "name_dest")).alias("account"))
-        .where("account IS NOT NULL")
-        .groupBy("account")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    used = accounts_in_use(wh.fact)
     known = wh.dim_customer.groupBy(F.col("account_id").alias("account")).agg(
         F.lit(True).alias("known")
     )
@@ -207,14 +220,16 @@ def _account_hits_shuffled(wh: Warehouse, rules: dict[str, Rule], lookup: Lookup
                 F.struct(F.lit(False).alias("origin"), F.col("name_dest").alias("account")),
             )
         ).alias("side"),
-    ).select("txn_id", "side.origin", "side.account")
+    ).select("txn_id", "side.origin", "side.account").where("account IS NOT NULL")
+    # most heavy accounts are in order, so they are looked for among all accounts
+    heavy, _ = settle(heaviest(accounts_in_use(wh.fact), lookup.keys, lookup.limits))
     tests = {
         "ORPHAN_ORIG": F.col("orphan") & F.col("origin"),
         "ORPHAN_DEST": F.col("orphan") & ~F.col("origin"),
         "DUP_CUSTOMER_MASTER": F.col("repeated"),
     }
     codes = [_code(rules, code, test) for code, test in tests.items() if code in rules]
-    return _tagged(join_back(sides, lookup), codes).distinct()
+    return _tagged(join_back(sides, lookup, heavy), codes).distinct()
 
 
 def _by_kind(rules: Iterable[Rule]) -> dict[str, dict[str, Rule]]:

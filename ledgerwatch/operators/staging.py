@@ -9,7 +9,7 @@ from ledgerwatch.functions.expressions import typed
 from ledgerwatch.sources.schemas import FEEDS, TRANSACTION_COLUMNS
 
 ID_PREFIX = 4  # hex digits: 65,536 groups, so the offset table has a fixed size
-COPIES_PER_TASK_ROW = 100_000
+COPIES_PER_ROW = 100_000
 
 
 def stage(raw: DataFrame, feed: str) -> DataFrame:
@@ -69,12 +69,17 @@ def with_row_ids(df: DataFrame, columns: list[str], name: str = "txn_id") -> Dat
     )
     first = F.col("_offset") + F.col("_before") + 1
     last = F.col("_offset") + F.col("_before") + F.col("_copies")
-    single = placed.where("_copies = 1").select(first.alias(name), *columns)
-    # copies are written out in two steps, so that those of one busy row spread over tasks
-    step = F.lit(COPIES_PER_TASK_ROW).cast("bigint")
-    repeated = placed.where("_copies > 1").withColumn("_last", last)
-    runs = repeated.withColumn("_start", F.explode(F.sequence(first, last, step)))
-    spread = runs.repartition(F.col("_start"))
+    placed = placed.select(*columns, "_copies", first.alias("_first"), last.alias("_last"))
+    few = placed.where(F.col("_copies") <= COPIES_PER_ROW).select(
+        F.explode(F.sequence("_first", "_last")).alias(name), *columns
+    )
+    # the copies of a busy row are cut into runs, and the runs dealt out to tasks
+    step = F.lit(COPIES_PER_ROW).cast("bigint")
+    runs = (
+        placed.where(F.col("_copies") > COPIES_PER_ROW)
+        .withColumn("_start", F.explode(F.sequence("_first", "_last", step)))
+        .repartition(F.col("_start"))
+    )
     stop = F.least(F.col("_start") + step - 1, F.col("_last"))
-    copies = spread.select(F.explode(F.sequence(F.col("_start"), stop)).alias(name), *columns)
-    return single.unionByName(copies)
+    many = runs.select(F.explode(F.sequence(F.col("_start"), stop)).alias(name), *columns)
+    return few.unionByName(many)

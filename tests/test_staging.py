@@ -46,7 +46,7 @@ def test_feed_through_csv(spark, sf_dir, tmp_path):
 
 
 def test_row_ids_are_dense_and_ignore_layout(spark, monkeypatch):
-    monkeypatch.setattr(staging, "COPIES_PER_TASK_ROW", 7)  # force copies over several runs
+    monkeypatch.setattr(staging, "COPIES_PER_ROW", 7)  # force copies over several runs
     rows = spark.range(1000).selectExpr(
         "IF(id % 3 = 0, 0, id) AS a", "IF(id % 50 = 1, NULL, concat('x', id % 3)) AS b"
     )
