@@ -68,6 +68,12 @@ def predicate(rule: Rule, as_of: datetime) -> Column:
     return F.expr(rule.rule_sql.replace(":as_of", moment))
 
 
+def row_hits(fact: DataFrame, rules: Iterable[Rule], as_of: datetime) -> DataFrame:
+    """(rule_id, txn_id) of the rules on one row: a projection, so it also runs on a stream."""
+    codes = [F.when(predicate(rule, as_of), F.lit(rule.rule_id)) for rule in rules]
+    return _tagged(fact, codes)
+
+
 # --- findings about keys ------------------------------------------------------------
 
 
