@@ -45,10 +45,9 @@ def staged_frame(spark, rows):
     ])
 
 
-def make_warehouse(spark, rows, master=(), settled=(), fixed_time=False):
+def make_warehouse(spark, rows, master=(), settled=()):
     staged = staged_frame(spark, rows)
-    moment = event_time() if not fixed_time else event_time().alias("x")
-    fact = staged.withColumn("txn_ts", moment)
+    fact = staged.withColumn("txn_ts", event_time())
     customers = spark.createDataFrame(list(master), MASTER)
     settlements = spark.createDataFrame(
         [(ref, txn, None if amount is None else str(amount), day) for ref, txn, amount, day in settled],

@@ -12,6 +12,7 @@ from ledgerwatch.plans import testbed as tb
 
 RULES = standard_rules()
 
+# The ten-row fixture (FIXTURES.md, section 2).
 TEN = [
     (1, 1, "PAYMENT", 1000, "C100", 5000, 4000, "M200", 0, 1000),
     (2, 2, "TRANSFER", None, "C101", 3000, 3000, "C102", 0, 0),
