@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -268,9 +269,10 @@ def _lookups(
     wanted = {kind: found for kind, found in findings.items() if kind in kinds}
     if not wanted:
         return {}
+    inherit = inheritable_thread_target(wh.fact.sparkSession)
     with ThreadPoolExecutor(len(wanted)) as pool:
         jobs = {
-            kind: pool.submit(lambda make=make, keys=keys: make_lookup(make(), keys, limits))
+            kind: pool.submit(inherit(lambda make=make, keys=keys: make_lookup(make(), keys, limits)))
             for kind, (make, keys) in wanted.items()
         }
         return {kind: job.result() for kind, job in jobs.items()}

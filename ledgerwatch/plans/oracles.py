@@ -427,10 +427,10 @@ ORACLES: dict[str, str] = {
     "anomaly_features": _base(
         "SELECT txn_id, CAST(is_fraud AS BIGINT) AS is_fraud,"
         " round(ln(1 + CAST(paid AS DOUBLE)), 8) AS log_amt,"
-        " round(CAST(old_o - new_o - paid AS DOUBLE), 8) AS err_orig,"
-        " round(CAST(new_d - old_d - paid AS DOUBLE), 8) AS err_dest,"
-        " round(CAST(old_o AS DOUBLE), 8) AS oldbalance_org,"
-        " round(CAST(old_d AS DOUBLE), 8) AS oldbalance_dest,"
+        " CAST(old_o - new_o - paid AS DOUBLE) AS err_orig,"
+        " CAST(new_d - old_d - paid AS DOUBLE) AS err_dest,"
+        " CAST(old_o AS DOUBLE) AS oldbalance_org,"
+        " CAST(old_d AS DOUBLE) AS oldbalance_dest,"
         " round(CASE WHEN old_o > 0 THEN least(10, greatest(-10, CAST(paid AS DOUBLE) / old_o))"
         " ELSE 0 END, 8) AS bal_ratio_orig, "
         + ", ".join(

@@ -403,7 +403,7 @@ def _features(spark, sf_dir):
 
 def anomaly_features(spark, sf_dir):
     rows = _features(spark, sf_dir)
-    for name in anomaly.NUMERIC:
+    for name in ("log_amt", "bal_ratio_orig"):  # the others are exact cents
         rows = _rounded(rows, name)
     return plain(anomaly.one_hot_types(rows))
 

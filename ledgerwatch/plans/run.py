@@ -63,6 +63,7 @@ def run_pipeline(
     queue: DataFrame | None = None,
     history: DataFrame | None = None,
     reset: bool = False,
+    limits: Limits = Limits(),
 ) -> dict[str, DataFrame]:
     """Feeds to marts. Earlier exceptions and log rows are kept unless `reset`.
 
@@ -90,7 +91,7 @@ def run_pipeline(
         wh = replace(wh, scores=scores.select("txn_id", "score", "is_anomaly"))
         rules = set_active(rules, "ANOMALY_IFOREST")
 
-    run = run_rules(wh, rules, as_of, queue=queue, written=True)
+    run = run_rules(wh, rules, as_of, queue=queue, limits=limits, written=True)
     catalog = catalog_frame(spark, rules)
     exceptions = run.exceptions if queue is None else queue.unionByName(run.exceptions)
     log = run.log if history is None else history.unionByName(run.log)

@@ -1,5 +1,6 @@
 """Every rule on hand-made rows, with exact sets, and the same results by every join route."""
 
+import random
 from datetime import date
 
 import pytest
@@ -164,6 +165,26 @@ def test_velocity_frame(spark, route):
     assert found == {"DEST_VELOCITY": expected}
 
 
+def test_velocity_against_brute_force(spark):
+    rng = random.Random(5)
+    hours = [None, -3, 0, 1, 1021, 1022, 1023, 1024, 1025, 1026, 2047, 2048, 2051]
+    rows = [
+        (i, rng.choice(hours), "DEBIT", 1, "C1", 1, 0, rng.choice(["C1", "C2", "M1", None]), 0, 1)
+        for i in range(280)
+    ]
+
+    def peers(row):
+        near = [r for r in rows if r[7] == row[7]]
+        if row[1] is None:
+            return sum(r[1] is None for r in near)
+        return sum(r[1] is not None and row[1] - 3 <= r[1] <= row[1] for r in near)
+
+    rule = [r for r in RULES if r.rule_code == "DEST_VELOCITY"]
+    found = by_code(failing(make_warehouse(spark, rows), rule, AS_OF))
+    expected = {row[0] for row in rows if peers(row) > 10}
+    assert found["DEST_VELOCITY"] == expected and len(expected) < len(rows)
+
+
 @pytest.mark.parametrize("route", ROUTES)
 def test_outlier_by_type(spark, route):
     rows = [(i, 1, "DEBIT", 10 + i % 3, "C1", 0, 0, "M1", 0, 0) for i in range(100)]
