@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", app: str = "ledgerwatch", **conf) -> S
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
+        # the rules make more generated classes than the default of 100 keeps
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
