@@ -38,15 +38,16 @@ SPREAD = 2654435769  # 2^32 over the golden ratio, spreads automaton keys
 PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-# White space by any definition, besides the space and the line end. Where a single space stands
-# between two other characters, no word reaches over it: what follows can be encoded on its own.
+# White space by any definition, besides the space and the line end. Where a single space or line
+# end stands between two other characters, no word reaches over it: what follows can be encoded on
+# its own, with the space before it, or after the line end, which is a word.
 RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def uneven(text: str) -> bool:
-    """Whether some space is not single between two characters that are no white space."""
+    """Whether some space or line end is not single between two characters that are no white space."""
     return (
-        "  " in text or " \n" in text or "\n " in text
+        "  " in text or " \n" in text or "\n " in text or "\n\n" in text
         or text[:1] == " " or text[-1:] == " " or RARE.search(text) is not None
     )
 
@@ -272,8 +273,8 @@ class Encoder(dict):
         self.tokenizer, self.lexicon, self.words = tokenizer, lexicon, {}
 
     def learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        """Ids of chunks with a space before them: from the lexicon, or merged side by side."""
-        forms = {chunk: PATTERN.findall(" " + chunk) for chunk in chunks}
+        """Ids of chunks with a space before them, if they begin with no line end."""
+        forms = {chunk: PATTERN.findall(chunk if chunk[:1] == "\n" else " " + chunk) for chunk in chunks}
         words = self.looked_up({w for form in forms.values() for w in form})
         found = {chunk: b"".join(map(words.__getitem__, form)) for chunk, form in forms.items()}
         if len(self) + len(found) > CACHE:
@@ -282,6 +283,7 @@ class Encoder(dict):
         return found
 
     def looked_up(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words: remembered, from the lexicon, or merged side by side."""
         found = {w: self.words[w] for w in words if w in self.words}
         unseen = []
         for word in words - found.keys():
@@ -313,7 +315,7 @@ class Encoder(dict):
         )
 
     def encode_all(self, texts: pa.Array) -> pa.Array:
-        """Texts cut at their spaces; each distinct chunk is looked up once."""
+        """Texts cut at their spaces and before their line ends; each distinct chunk is looked up once."""
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         special = self.tokenizer.special
         odd = {
@@ -325,7 +327,7 @@ class Encoder(dict):
             keep = np.ones(len(texts), bool)
             keep[list(odd)] = False
             texts = pc.if_else(pa.array(keep), texts, "")
-        lists = pc.split_pattern(texts, " ")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         flat, bounds = lists.flatten(), np.asarray(lists.offsets)
         bounds = (bounds - bounds[0]).astype(np.int64)
         coded = flat.dictionary_encode()
@@ -357,7 +359,7 @@ def pieces(tokenizer_path: str) -> list[bytes]:
 def frequent_chunks(docs: DataFrame, text: str = "text", most: int = LEXICON_CHUNKS) -> list[str]:
     """The most frequent texts between spaces, counted over all documents."""
     counted = (
-        docs.select(F.explode(F.split(text, " ")).alias("chunk"))
+        docs.select(F.explode(F.split(text, "[ \n]")).alias("chunk"))
         .where("length(chunk) BETWEEN 1 AND 40")
         .groupBy("chunk")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -409,6 +411,18 @@ def encode(
     return keyed.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id)
 
 
+def decoded(ids: pa.Array, tokenizer_path: str) -> pa.Array:
+    """Texts of arrays of ids given as bytes."""
+    bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(ids), 0).to_numpy())]) // 4
+    flat = np.frombuffer(b"".join(x or b"" for x in ids.to_pylist()), "<u4")
+    raw = gathered(pieces(tokenizer_path), flat.astype(np.int64), bounds)
+    try:
+        texts = raw.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
+    return pc.if_else(pc.is_valid(ids), texts, pa.scalar(None, pa.string()))
+
+
 def decode(encoded: DataFrame, tokenizer_path: str, id: str = "doc_id") -> DataFrame:
     """(id, ids, text): ids turned back into text, special tokens included; null ids give null.
 
@@ -416,25 +430,25 @@ def decode(encoded: DataFrame, tokenizer_path: str, id: str = "doc_id") -> DataF
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pieces(tokenizer_path)
         for batch in slices(batches):
-            ids = batch.column(1)
-            bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(ids), 0).to_numpy())]) // 4
-            flat = np.frombuffer(b"".join(x or b"" for x in ids.to_pylist()), "<u4")
-            raw = gathered(known, flat.astype(np.int64), bounds)
-            try:
-                texts = raw.cast(pa.large_string()).cast(pa.string())
-            except pa.ArrowInvalid:
-                texts = pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
-            texts = pc.if_else(pc.is_valid(ids), texts, pa.scalar(None, pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, texts], names=["id", "ids", "text"])
+            texts = decoded(batch.column(1), tokenizer_path)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["id", "ids", "text"])
 
     keyed = encoded.select(F.col(id).alias("id"), "ids")
     kind = keyed.schema["id"].dataType.simpleString()
     return keyed.mapInArrow(run, f"id {kind}, ids binary, text string").withColumnRenamed("id", id)
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(doc_id, ids, text) of every document, encoded with the corpus' lexicon and decoded again."""
-    lexicon = ship_lexicon(docs, tokenizer_path)
-    return decode(encode(docs, tokenizer_path, lexicon), tokenizer_path)
+def round_trip(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, ids, text) of every document, encoded with the corpus' lexicon and decoded again in the same task."""
+    lexicon = ship_lexicon(docs, tokenizer_path, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(tokenizer_path, lexicon)
+        for batch in slices(batches):
+            ids = own.encode_all(batch.column(1)).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, decoded(ids, tokenizer_path)], names=["id", "ids", "text"])
+
+    keyed = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    kind = keyed.schema["id"].dataType.simpleString()
+    return keyed.mapInArrow(run, f"id {kind}, ids binary, text string").withColumnRenamed("id", id)

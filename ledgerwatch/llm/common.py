@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_AT_ONCE = 1024  # rows of text that a task holds in worked-out form
-BYTES_AT_ONCE = 8 << 20  # and their bytes, unless one row alone has more
+BYTES_AT_ONCE = 2 << 20  # and their bytes, unless one row alone has more
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,15 +3,61 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import bpe
+from ledgerwatch.llm import bpe, curves, packing, quality, toxicity, vafile
 from ledgerwatch.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "n_chars")
+    model = quality.train(docs, _labels(spark, sf_dir), "quality", _fold(3) != 1, ("n_chars",))
+    return quality.score(docs, model, ("n_chars",)).select("row.doc_id", "score").select(
+        "doc_id",
+        F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    lexicon = toxicity.train(docs, _labels(spark, sf_dir), "toxic", _fold(4) != 2)
+    return toxicity.score(docs, lexicon).select("row.doc_id", "score").select(
+        "doc_id",
+        F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), TOKENIZER)
+
+
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+
+
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.neighbours(_embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(_embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tripped = bpe.round_trip(documents(spark, sf_dir), TOKENIZER)
     return tripped.select(
@@ -23,7 +69,28 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_neighbours": op2_neighbours,
+    "op8_top_k": op8_top_k,
+    "op3_quality": op3_quality,
+    "op6_toxicity": op6_toxicity,
+    "op7_packing": op7_packing,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}

@@ -67,3 +67,11 @@ def test_query(spark, sf_dir):
         assert row.n_tokens == len(found)
         assert row.ids_sha256 == hashlib.sha256(np.array(found, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(found, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_decode_replaces_what_is_no_text(spark):
+    rows = [(1, np.array([b], "<u4").tobytes()) for b in (0,)] + [(2, None), (3, b"")]
+    half = bpe.Tokenizer(PATH).bytes[0xC3]
+    rows.append((4, np.array([half], "<u4").tobytes()))
+    got = {r.doc_id: r.text for r in bpe.decode(spark.createDataFrame(rows, "doc_id long, ids binary"), PATH).collect()}
+    assert got[2] is None and got[3] == "" and got[4] == "�"
