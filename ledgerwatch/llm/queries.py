@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import bpe, curves, packing, quality, toxicity, vafile
+from ledgerwatch.llm import bpe, curves, lines, near_dup, packing, passages, quality, toxicity, vafile, warc
 from ledgerwatch.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return warc.derive(warc.responses(pages))
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     lexicon = toxicity.train(docs, _labels(spark, sf_dir), "toxic", _fold(4) != 2)
@@ -46,6 +56,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER)
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.groups(documents(spark, sf_dir).select("doc_id", "text"), width=2, percent=80)
+
+
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0), lambda total, s: total + s["stop"] - s["start"])
+    return found.select("row.doc_id", "text", "removed", gone.alias("n_removed"))
+
+
 def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
 
@@ -69,23 +89,130 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dup": op1_near_dup,
     "op2_neighbours": op2_neighbours,
     "op8_top_k": op8_top_k,
     "op3_quality": op3_quality,
+    "op4_warc": op4_warc,
+    "op5_lines": op5_lines,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
+    "op9_passages": op9_passages,
     "op10_bpe": op10_bpe,
 }
 
+def _urn(kind: str, *parts: str) -> str:
+    joined = " || '|' || ".join([f"'{kind}'", *[f"coalesce(CAST({p} AS VARCHAR), '~')" for p in parts]])
+    pieces = " || '-' || ".join(f"substr(md5({joined}), {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || {pieces} || '>'"
+
+
+def _unescaped(text: str) -> str:
+    for name, mark in warc.NAMED.items():
+        text = "replace({}, '&{};', '{}')".format(text, name, mark.replace("'", "''"))
+    return text
+
+
+def _warc_sql() -> str:
+    text = r"regexp_replace(html, '<!--.*?-->', '', 'gs')"
+    for name in warc.HIDDEN:
+        text = rf"regexp_replace({text}, '<{name}\b[^>]*>.*?</{name}[ \t\r\n]*>', '', 'gis')"
+    text = rf"regexp_replace({text}, '[ \t\r\n\f]+', ' ', 'g')"
+    text = rf"regexp_replace({text}, '</?(?:{warc.LINES})\b[^>]*>', chr(10), 'gi')"
+    text = rf"regexp_replace({text}, '</?[A-Za-z!?][^>]*(?:>|$)', '', 'g')"
+    text = rf"regexp_replace({_unescaped(text)}, '[ \x{{00A0}}]+', ' ', 'g')"
+    text = rf"regexp_replace(regexp_replace({text}, ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g')"
+    title = r"nullif(regexp_extract(html, '<title\b[^>]*>(.*?)</title', 1, 'is'), '')"
+    title = rf"trim(regexp_replace({_unescaped(title)}, '[ \t\r\n\f]+', ' ', 'g'))"
+    return rf"""
+        WITH p AS (
+            SELECT {_urn("response", "page_id", "url", "html")} AS id, url, coalesce(html, '') AS html FROM pages
+        ), t AS (
+            SELECT *, trim({text}, ' ' || chr(10)) AS text,
+                   regexp_extract_all(html, '<a\b[^>]*\bhref="([^"]*)"', 1, 'i') AS links,
+                   {title} AS title, nullif(regexp_extract(html, '<html\b[^>]*\blang=["'']([A-Za-z-]+)', 1, 'i'), '') AS lang
+            FROM p
+        ), b AS (
+            SELECT id, url, html, 'conversion' AS type, 'text/plain; charset=utf-8' AS content_type, text AS block FROM t
+            UNION ALL
+            SELECT id, url, html, 'metadata', 'application/warc-fields',
+                   array_to_string(list_filter(list_concat(
+                       ['title: ' || title, 'languages: ' || lang, 'characters: ' || length(text), 'links: ' || len(links)],
+                       list_transform(links, lambda x: 'outlink: ' || {_unescaped("x")})), lambda x: x IS NOT NULL), chr(13) || chr(10))
+                   || chr(13) || chr(10)
+            FROM t
+        )
+        SELECT CASE type WHEN 'metadata' THEN {_urn("metadata", "id")} ELSE {_urn("conversion", "id")} END AS record_id,
+               type, id AS refers_to, url AS target_uri, CAST(NULL AS VARCHAR) AS date, content_type,
+               'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+                   || 'Content-Length: ' || strlen(html) AS source_headers,
+               'sha256:' || sha256(html) AS payload_digest, 'sha256:' || sha256(block) AS block_digest,
+               CAST(strlen(block) AS INTEGER) AS content_length, block
+        FROM b
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op4_warc": _warc_sql(),
+    "op1_near_dup": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), p AS (
+            SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0
+        ), s AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s FROM p
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), sn AS (
+            SELECT s.doc_id, s.s, n.n FROM s JOIN n ON s.doc_id = n.doc_id
+        ), link AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM sn a JOIN sn b ON a.s = b.s AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS d, doc_id AS r FROM documents
+            UNION
+            SELECT link.y, reach.r FROM reach JOIN link ON link.x = reach.d
+        ), c AS (
+            SELECT d, min(r) AS component_id FROM reach GROUP BY d
+        )
+        SELECT documents.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.component_id = documents.doc_id AS kept
+        FROM documents JOIN c ON c.d = documents.doc_id LEFT JOIN n ON n.doc_id = documents.doc_id
+    """,
+    "op5_lines": """
+        WITH d AS (
+            SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
+        ), w AS (
+            SELECT doc_id, l, unnest(range(1, greatest(len(l) - 1, 1))) AS i FROM d WHERE text IS NOT NULL
+        ), k AS (
+            SELECT doc_id, i, l[i] || chr(10) || l[i + 1] || chr(10) || l[i + 2] AS three FROM w
+            WHERE trim(l[i] || l[i + 1] || l[i + 2]) <> ''
+        ), r AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY three ORDER BY doc_id, i) AS n FROM k
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r WHERE n > 1
+        ), line AS (
+            SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS j FROM d WHERE text IS NOT NULL
+        ), kept AS (
+            SELECT line.doc_id, string_agg(line.l[line.j], chr(10) ORDER BY line.j) AS text, count(*) AS n
+            FROM line ANTI JOIN gone ON line.doc_id = gone.doc_id AND line.j = gone.j GROUP BY line.doc_id
+        )
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+               CAST(coalesce(len(d.l), 0) AS INTEGER) AS n_lines,
+               CAST(coalesce(len(d.l), 0) - coalesce(kept.n, 0) AS INTEGER) AS n_removed
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+    """,
     "op8_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
             FROM embeddings
-            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
         ), ranked AS (
             SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
