@@ -18,6 +18,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm.common import gathered, slices
 
 LEXICON_CHUNKS = 20_000  # most frequent chunks that are compiled; rarer words are merged, with the same ids
-CACHE = 200_000  # texts between spaces whose ids a task remembers
+CACHE = 250_000  # texts between spaces whose ids a task remembers, twice, and as many words
 NEVER = 1 << 40
 SPREAD = 2654435769  # 2^32 over the golden ratio, spreads automaton keys
 
@@ -132,8 +133,11 @@ class Tokenizer:
             at = ranks.argmin(1)
             best = ranks[np.arange(len(rows)), at]
             live = best < NEVER
-            for k, left in zip(rows[~live], ids[~live]):
-                out[k] = left[left >= 0].astype("<u4").tobytes()
+            done = ids[~live]
+            ends = np.cumsum((done >= 0).sum(1)) * 4
+            raw, last = done[done >= 0].astype("<u4").tobytes(), 0
+            for k, end in zip(rows[~live].tolist(), ends.tolist()):
+                out[k], last = raw[last:end], end
             rows, ids, ranks, at, best = rows[live], ids[live], ranks[live], at[live], best[live]
             if not len(rows):
                 break
@@ -266,41 +270,70 @@ class Lexicon:
 # --- encoding in tasks --------------------------------------------------------------
 
 
-class Encoder(dict):
-    """Ids of texts as little-endian 32-bit numbers; as a dict, those of remembered chunks."""
+def words_of(text: str) -> list[str]:
+    """The words of a text by the pattern; the commonest shapes are told without it."""
+    body = text[1:] if text[:1] in (" ", "\n") else text
+    if body.isalpha():
+        return ["\n", body] if text[0] == "\n" else [text]
+    if body[-1:] in (".", ",") and body[:-1].isalpha():
+        return ["\n", body[:-1], body[-1]] if text[0] == "\n" else [text[:-1], body[-1]]
+    return PATTERN.findall(text)
 
-    def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon | None):
-        self.tokenizer, self.lexicon, self.words = tokenizer, lexicon, {}
-
-    def learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        """Ids of chunks with a space before them, if they begin with no line end."""
-        forms = {chunk: PATTERN.findall(chunk if chunk[:1] == "\n" else " " + chunk) for chunk in chunks}
-        words = self.looked_up({w for form in forms.values() for w in form})
-        found = {chunk: b"".join(map(words.__getitem__, form)) for chunk, form in forms.items()}
-        if len(self) + len(found) > CACHE:
-            self.clear()
-        self.update((c, ids) for c, ids in found.items() if len(c) < 64)
+
+class Remembered:
+    """A bounded cache in two generations: a full one becomes the old one, and what is used again stays."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.young[key] = found
         return found
 
+    def put(self, pairs: Iterable[tuple[str, bytes]]) -> None:
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        self.young.update(pair for pair in pairs if len(pair[0]) < 64)
+
+
+class Encoder:
+    """Ids of texts as little-endian 32-bit numbers."""
+
+    def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon | None):
+        self.tokenizer, self.lexicon = tokenizer, lexicon
+        self.chunks, self.words = Remembered(CACHE), Remembered(CACHE)
+
+    def learn(self, chunks: list[str], heads: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of chunks with a space before them, if they begin with no line end, and of heads as they are."""
+        forms = [words_of(chunk if chunk[:1] == "\n" else " " + chunk) for chunk in chunks]
+        own = [words_of(head) for head in heads]
+        words = self.looked_up(set(chain.from_iterable(forms)) | set(chain.from_iterable(own)))
+        found, at = [[b"".join(map(words.__getitem__, form)) for form in some] for some in (forms, own)]
+        self.chunks.put(zip(chunks, found))
+        return found, at
+
     def looked_up(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words: remembered, from the lexicon, or merged side by side."""
-        found = {w: self.words[w] for w in words if w in self.words}
+        found = {w: ids for w in words if (ids := self.words.get(w)) is not None}
+        new = words - found.keys()
         unseen = []
-        for word in words - found.keys():
+        for word in new:
             ids = self.lexicon.find(word.encode()) if self.lexicon else None
             if ids is None:
                 unseen.append(word)
             else:
                 found[word] = ids
         found.update(zip(unseen, self.tokenizer.merge_all([w.encode() for w in unseen])))
-        if len(self.words) + len(found) > CACHE:
-            self.words.clear()
-        self.words.update((w, ids) for w, ids in found.items() if len(w) < 64)
+        self.words.put((w, found[w]) for w in new)
         return found
 
     def part(self, text: str) -> bytes:
         """Ids of a text without special tokens."""
-        form = PATTERN.findall(text)
+        form = words_of(text)
         words = self.looked_up(set(form))
         return b"".join(map(words.__getitem__, form))
 
@@ -333,11 +366,13 @@ class Encoder(dict):
         coded = flat.dictionary_encode()
         chosen = np.array(coded.indices, np.int64)
         chunks = coded.dictionary.to_pylist()
-        known = [self.get(chunk) for chunk in chunks]
-        new = self.learn(chunk for chunk, ids in zip(chunks, known) if ids is None)
-        known = [new[chunk] if ids is None else ids for chunk, ids in zip(chunks, known)]
+        known = list(map(self.chunks.get, chunks))
+        new = [k for k, ids in enumerate(known) if ids is None]
         heads = flat.take(pa.array(bounds[:-1])).to_pylist()  # no space comes before the first chunk
-        own = [odd[k] if k in odd else self.part(head) for k, head in enumerate(heads)]
+        learned, own = self.learn([chunks[k] for k in new], heads)
+        for k, ids in zip(new, learned):
+            known[k] = ids
+        own = [odd.get(k, ids) for k, ids in enumerate(own)]
         chosen[bounds[:-1]] = len(known) + np.arange(len(own))
         return gathered(known + own, chosen, bounds, 4)
 

@@ -18,11 +18,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE, size: int | None = None
+) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut into slices of bounded rows and bytes, so texts are worked on a few at a time."""
 
+    most = BYTES_AT_ONCE if size is None else size
+
     def halves(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if part.num_rows < 2 or part.get_total_buffer_size() <= BYTES_AT_ONCE or part.nbytes <= BYTES_AT_ONCE:
+        if part.num_rows < 2 or part.nbytes <= most:
             yield part
         else:
             yield from halves(part.slice(0, part.num_rows // 2))

@@ -53,7 +53,7 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer_path)
-        for batch in slices(batches):
+        for batch in slices(batches, 4096, 8 << 20):
             coded = own.encode_all(batch.column(1))
             sizes = pc.binary_length(coded).to_numpy().astype(np.int64) // 4 + 1
             counts = -(-sizes // capacity)
