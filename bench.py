@@ -49,7 +49,7 @@ def main() -> None:
     rows = anomaly.features(wh.fact)
     count = rows.count()
     forest, _ = settle(anomaly.train(rows, count=count))
-    scored, _ = settle(anomaly.score(rows, forest, count))
+    scored, _ = settle(anomaly.score(rows, forest))
     with_scores = replace(wh, scores=anomaly.flag(scored))
     queue, _ = settle(run_rules(wh, rules, tb.AS_OF).exceptions)
     row_rules = [r for r in rules if r.kind == "row"]
@@ -84,7 +84,7 @@ def main() -> None:
         "full_rule_run": full_run,
         "second_rule_run": lambda: drain(mark_new(failing(wh, rules, tb.AS_OF), queue)),
         "forest_train": lambda: drain(anomaly.train(rows, count=count)),
-        "forest_score": lambda: drain(anomaly.score(rows, forest, count)),
+        "forest_score": lambda: drain(anomaly.score(rows, forest)),
         "forest_flag_and_evaluate": lambda: anomaly.evaluate(anomaly.flag(scored)).collect(),
         "model_rule": lambda: drain(
             failing(with_scores, [replace(r, active=True) for r in rules if r.kind == "model"], tb.AS_OF)

@@ -37,9 +37,7 @@ CONTAMINATION = 0.005
 EULER = 0.5772156649015329
 
 DEPTH = 8  # log2 of the bag size
-SURPLUS = 2  # bag candidates drawn per bag row
-FEW_ROWS = 4 * BAG  # up to here every row is tried for every tree
-SPREAD_ROWS = 5_000_000  # up to here an input may be a few files, and scoring is worth a shuffle
+SURPLUS = 4  # bag candidates drawn per bag row
 DRAWS = 1 << 40
 
 NODES = (
@@ -78,11 +76,12 @@ def features(fact: DataFrame) -> DataFrame:
     )
 
 
-def one_hot_types(rows: DataFrame, most: int = 1000) -> DataFrame:
-    """A 0/1 column per type, in order of name. The model itself needs no such columns."""
-    found = rows.select("type").distinct().orderBy("type").limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} types")
+def one_hot_types(rows: DataFrame) -> DataFrame:
+    """A 0/1 column per type, in order of name. The model itself needs no such columns.
+
+    The names become columns, so the driver has to hold them, however many there are.
+    """
+    found = rows.select("type").distinct().orderBy("type").collect()
     flags = [(F.col("type") == row[0]).cast("int").alias(f"type_{row[0]}") for row in found]
     return rows.select(*[c for c in rows.columns if c != "type"], *flags)
 
@@ -100,25 +99,26 @@ def bags(
     """The rows of each tree's bag, with their rank in it; `count` is the number of rows.
 
     A bag is the rows with the lowest draws for that tree. Candidates are found by drawing
-    trees for rows, twice as many as needed in all: with many rows most draw none, so the
-    work after the first hash does not grow with the table.
+    trees for rows, four times as many as needed in all: with many rows most draw none, so the
+    work after the first hash does not grow with the table; with few, each tries several trees or all.
     """
     if count == 0:
         raise ValueError("no rows to train on")
     key, salt = F.col("txn_id"), F.lit(seed)
-    if count <= FEW_ROWS:
-        tried = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    else:
-        wanted = SURPLUS * trees * bag / count  # draws per row
-        turns = math.ceil(wanted)
-        lucky = F.lit(int(wanted / turns * DRAWS))
-        turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))) if turns > 1 else F.lit(0)
-        tried = (
-            rows.withColumn("_turn", turn)
-            .where(_draw(key, F.col("_turn"), salt) < lucky)
-            .withColumn("tree", F.pmod(F.xxhash64(F.col("_turn"), key, salt), F.lit(trees)))
-            .drop("_turn")
-        )
+    # a row's turns go to different trees: steps of its own size around a prime number of places
+    places = next(p for p in range(max(2, trees), 2 * trees + 2) if all(p % d for d in range(2, math.isqrt(p) + 1)))
+    wanted = SURPLUS * places * bag / count  # turns of a row, counting places without a tree
+    turns = min(places, math.ceil(wanted))
+    lucky = F.lit(int(min(1.0, wanted / turns) * DRAWS))
+    turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))) if turns > 1 else F.lit(0)
+    first, step = F.pmod(F.xxhash64(key, salt), F.lit(places)), 1 + F.pmod(F.xxhash64(salt, key), F.lit(places - 1))
+    tried = (
+        rows.withColumn("_turn", turn)
+        .where(_draw(key, F.col("_turn"), salt) < lucky)
+        .withColumn("tree", F.pmod(first + F.col("_turn") * step, F.lit(places)))
+        .where(F.col("tree") < trees)
+        .drop("_turn")
+    )
     order = Window.partitionBy("tree").orderBy("_draw", "txn_id")
     return (
         tried.withColumn("tree", F.col("tree").cast("int"))
@@ -265,14 +265,11 @@ def walk(forest: Forest, matrix: np.ndarray) -> np.ndarray:
     return 2.0 ** (-depth / forest.norm) if forest.norm > 0 else np.full(count, 0.5)
 
 
-def score(rows: DataFrame, nodes: DataFrame, count: int | None = None) -> DataFrame:
-    """(txn_id, is_fraud, type, score) of every row.
-
-    The `count` of a small input, if known, has it dealt out to all cores first.
-    """
+def score(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(txn_id, is_fraud, type, score) of every row; an input of few parts is dealt out to all cores first."""
     context = rows.sparkSession.sparkContext
     forest = context.broadcast(pack(nodes))
-    if count is not None and count <= SPREAD_ROWS:
+    if rows.rdd.getNumPartitions() < context.defaultParallelism:
         rows = rows.repartition(context.defaultParallelism, "txn_id")
 
     @F.pandas_udf("double")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, replace
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +23,14 @@ SETTLEMENT, ACCOUNT, COPIES, REFERENCE, OUTLIER, VELOCITY, MODEL = (
 )
 
 
+# The shipped limits of the built-in rules that have some.
+PARAMS = {
+    "LATE_SETTLEMENT": {"days": 2},
+    "AMOUNT_ZSCORE_BY_TYPE": {"deviations": 4},
+    "DEST_VELOCITY": {"arrivals": 10, "hours_back": 3},
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     rule_id: int
@@ -33,12 +41,20 @@ class Rule:
     kind: str
     rule_sql: str | None = None
     active: bool = True
+    params: Mapping[str, float] = field(default_factory=dict)  # limits of a built-in rule
 
     def __post_init__(self):
         if self.severity not in SEVERITIES:
             raise ValueError(f"{self.rule_code}: severity must be one of {SEVERITIES}")
         if self.kind in (ROW, QUERY) and not self.rule_sql:
             raise ValueError(f"{self.rule_code}: a {self.kind} rule needs SQL text")
+        unknown = set(self.params) - set(PARAMS.get(self.rule_code, ()))
+        if unknown:
+            raise ValueError(f"{self.rule_code} has no limit {sorted(unknown)}")
+
+    def limit(self, name: str) -> float:
+        """A limit of a built-in rule: the catalog's own, or the shipped one."""
+        return self.params.get(name, PARAMS[self.rule_code][name])
 
 
 # Codes, dimensions, severities, limits and the account pattern of the 30 rules.
@@ -181,7 +197,7 @@ _ROWS = (
 def standard_rules() -> list[Rule]:
     """The shipped catalog. The model rule stays off until scores exist."""
     return [
-        Rule(number, *row, active=row[0] != "ANOMALY_IFOREST")
+        Rule(number, *row, active=row[0] != "ANOMALY_IFOREST", params=PARAMS.get(row[0], {}))
         for number, row in enumerate(_ROWS, start=1)
     ]
 
@@ -199,7 +215,8 @@ def add_rule(
     """The rules and one more, given as a predicate on a fact row or as a query.
 
     A query names the tables `{fact}`, `{customer_master}`, `{settlements}`,
-    `{dim_customer}` and, if there are scores, `{scores}`, and returns `txn_id`.
+    `{dim_customer}`, `{dim_time}`, `{dim_txn_type}` and, if there are any, `{scores}` and
+    `{injected_defects}`, and returns `txn_id`.
     """
     rules = list(rules)
     if (predicate is None) == (query is None):
@@ -213,17 +230,47 @@ def add_rule(
     ]
 
 
+CATALOG = (
+    "rule_id int, rule_code string, dimension string, severity string, description string, "
+    "kind string, rule_sql string, active boolean, params map<string, double>"
+)
+
+
 def set_active(rules: Iterable[Rule], rule_code: str, active: bool = True) -> list[Rule]:
     return [replace(r, active=active) if r.rule_code == rule_code else r for r in rules]
 
 
 def catalog_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
     rows = [
-        (r.rule_id, r.rule_code, r.dimension, r.severity, r.description, r.kind, r.rule_sql, r.active)
+        (
+            r.rule_id, r.rule_code, r.dimension, r.severity, r.description, r.kind, r.rule_sql, r.active,
+            {name: float(value) for name, value in r.params.items()},
+        )
         for r in rules
     ]
-    return spark.createDataFrame(
-        rows,
-        "rule_id int, rule_code string, dimension string, severity string, description string, "
-        "kind string, rule_sql string, active boolean",
-    )
+    return spark.createDataFrame(rows, CATALOG)
+
+
+def rules_from_frame(catalog: DataFrame) -> list[Rule]:
+    """The rules of a stored catalog, whoever edited it; a catalog is a short table.
+
+    A table without kinds holds predicates and queries only: text that selects is a query. Rules
+    that are not set active or inactive are active.
+    """
+    known = {rule.rule_code: rule for rule in standard_rules()}
+    rules = []
+    for row in sorted(catalog.collect(), key=lambda r: r["rule_id"]):
+        given = row.asDict()
+        text = given.get("rule_sql")
+        if not (kind := given.get("kind")):
+            query = text is not None and text.strip().lower().startswith(("select", "with"))
+            kind = QUERY if query else ROW if text else known[given["rule_code"]].kind
+        rules.append(Rule(
+            given["rule_id"], given["rule_code"], given["dimension"], given["severity"],
+            given.get("description") or "", kind, text, given.get("active") is not False,
+            {name: value for name, value in (given.get("params") or {}).items() if value is not None},
+        ))
+    for what in ("rule_id", "rule_code"):
+        if len({getattr(rule, what) for rule in rules}) < len(rules):
+            raise ValueError(f"the catalog repeats a {what}")
+    return rules

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +14,14 @@ from ledgerwatch.operators.catalog import Rule, catalog_frame
 OPEN, ASSIGNED, RESOLVED = "OPEN", "ASSIGNED", "RESOLVED"
 
 
+def utc(moment: datetime) -> datetime:
+    """A time without a zone is UTC already; one with a zone is converted."""
+    return moment if moment.tzinfo is None else moment.astimezone(UTC).replace(tzinfo=None)
+
+
 def instant(moment: datetime) -> Column:
     """A run time as a UTC instant, whatever the session's time zone."""
-    return F.to_timestamp(F.lit(f"{moment:%Y-%m-%d %H:%M:%S.%f}+00:00"))
+    return F.to_timestamp(F.lit(f"{utc(moment):%Y-%m-%d %H:%M:%S.%f}+00:00"))
 
 
 def mark_new(hits: DataFrame, queue: DataFrame | None) -> DataFrame:
@@ -27,7 +32,7 @@ def mark_new(hits: DataFrame, queue: DataFrame | None) -> DataFrame:
     """
     pairs = hits.select("rule_id", "txn_id", F.lit(True).alias("hit"))
     if queue is None:
-        return pairs.select("rule_id", "txn_id", F.lit(True).alias("is_new"))
+        return pairs.groupBy("rule_id", "txn_id").agg(F.max("hit").alias("is_new"))
     queued = queue.select("rule_id", "txn_id", F.lit(False).alias("hit"))
     return (
         pairs.unionByName(queued)
@@ -75,42 +80,59 @@ def run_log(
     )
 
 
+def _rank(state: Column) -> Column:
+    """1 to 3 for the states in their order; 0 for anything else, which moves nothing."""
+    return F.array_position(F.array(F.lit(OPEN), F.lit(ASSIGNED), F.lit(RESOLVED)), state)
+
+
 def apply_updates(queue: DataFrame, updates: DataFrame) -> DataFrame:
     """The queue after analyst updates (rule_id, txn_id, status, assigned_to, note, updated_at).
 
-    Of several updates to one item the latest counts. An item only moves forward:
-    OPEN to ASSIGNED to RESOLVED; an update that would move it back changes nothing.
-    """
+    Updates to one item count in the order of their times, of equal ones the lower state first.
+    An item only moves forward, OPEN to ASSIGNED to RESOLVED: an update to a state below the one
+    reached changes nothing, all others are accepted. The item has the highest state reached, the
+    last owner and the last note that an accepted update gave, and the time it was first resolved.
+    So one batch gives what its updates would give one by one.
 
-    def rank(column: str) -> Column:
-        states = F.array(F.lit(OPEN), F.lit(ASSIGNED), F.lit(RESOLVED))
-        return F.array_position(states, F.col(column))
-
-    latest = (
-        updates.groupBy("rule_id", "txn_id")
-        .agg(F.max(F.struct("updated_at", "status", "assigned_to", "note")).alias("u"))
-        .select(
-            F.col("rule_id").alias("_rule"),
-            F.col("txn_id").alias("_txn"),
-            F.col("u.status").alias("_status"),
-            F.col("u.assigned_to").alias("_owner"),
-            F.col("u.note").alias("_note"),
-            F.col("u.updated_at").alias("_at"),
-        )
-    )
-    joined = queue.join(
-        latest,
-        (queue["rule_id"] == latest["_rule"]) & queue["txn_id"].eqNullSafe(latest["_txn"]),
-        "left",
+    An update is accepted if it is no later than the first one to a higher state. Two aggregates
+    find those times and then the last values, so no item's updates meet in one list.
+    """
+    sent = updates.select(
+        F.col("rule_id").cast("int").alias("_rule"),
+        F.col("txn_id").alias("_txn"),
+        _rank(F.col("status")).cast("int").alias("_rank"),
+        F.col("assigned_to").alias("_owner"),
+        F.col("note").alias("_note"),
+        F.col("updated_at").alias("_at"),
+    ).where("_rank > 0")
+    same = F.col("rule_id").eqNullSafe(F.col("_rule")) & F.col("txn_id").eqNullSafe(F.col("_txn"))
+    item = ["_rule", "_txn"]
+    reached = sent.groupBy(*item).agg(
+        F.min(F.when(F.col("_rank") > 1, F.col("_at"))).alias("_assigned"),
+        F.min(F.when(F.col("_rank") > 2, F.col("_at"))).alias("_resolved"),
+        F.max("_rank").alias("_top"),
     )
-    moves = rank("_status") >= rank("status")
-    closes = moves & (F.col("_status") == RESOLVED) & (F.col("status") != RESOLVED)
+    state = queue.select("rule_id", "txn_id", _rank(F.col("status")).cast("int").alias("_state"))
+    reached = reached.join(state.distinct(), same).drop("rule_id", "txn_id")
+    keys = [c for c in reached.columns if c not in item]
+    named = reached.select(*[F.col(c).alias(f"{c}_") if c in item else F.col(c) for c in reached.columns])
+    higher = F.when(F.col("_rank") == 1, F.col("_assigned")).when(F.col("_rank") == 2, F.col("_resolved"))
+    accepted = (F.col("_rank") >= F.col("_state")) & (higher.isNull() | (F.col("_at") <= higher))
+
+    def last(value: str) -> Column:
+        given = F.when(accepted & F.col(value).isNotNull(), F.struct("_at", "_rank", value))
+        return F.max(given)[value].alias(value)
+
+    met = sent.join(named, sent["_rule"].eqNullSafe(named["_rule_"]) & sent["_txn"].eqNullSafe(named["_txn_"]))
+    moves = met.groupBy(*item, *keys).agg(last("_owner"), last("_note"))
+    joined = queue.join(moves, same, "left")
+    moved = F.col("_top") > F.col("_state")
+    closes = (F.col("_top") == 3) & (F.col("_state") < 3)
     changed = {
-        "status": F.when(moves, F.col("_status")).otherwise(F.col("status")),
-        "assigned_to": F.when(moves, F.coalesce("_owner", "assigned_to")).otherwise(
-            F.col("assigned_to")
-        ),
-        "resolved_at": F.when(closes, F.col("_at")).otherwise(F.col("resolved_at")),
-        "note": F.when(moves, F.coalesce("_note", "note")).otherwise(F.col("note")),
+        "status": F.when(moved, F.element_at(F.array(F.lit(OPEN), F.lit(ASSIGNED), F.lit(RESOLVED)), F.col("_top")))
+        .otherwise(F.col("status")),
+        "assigned_to": F.coalesce("_owner", "assigned_to"),
+        "resolved_at": F.when(closes, F.col("_resolved")).otherwise(F.col("resolved_at")),
+        "note": F.coalesce("_note", "note"),
     }
     return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in queue.columns])

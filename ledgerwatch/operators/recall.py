@@ -26,10 +26,12 @@ def _percent(caught: Column, injected: Column) -> Column:
 def recall_literal(defects: DataFrame, exceptions: DataFrame) -> DataFrame:
     """Recall by transaction alone: a defect counts once per exception on its transaction.
 
-    Kept for parity; it inflates both counts. `recall_attributed` is the honest figure.
+    Kept for parity; it inflates both counts. `recall_attributed` is the honest figure. The queue
+    is narrowed to the defects' transactions first: a small log is broadcast for that.
     """
+    wanted = defects.select("txn_id").where("txn_id IS NOT NULL").distinct()
     per_txn = (
-        exceptions.where("txn_id IS NOT NULL")
+        exceptions.select("txn_id").join(wanted, "txn_id", "left_semi")
         .groupBy("txn_id")
         .agg(F.count(F.lit(1)).alias("found"))
     )

@@ -10,6 +10,7 @@ settlement rules move the fact, by its own id.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -39,25 +40,40 @@ from ledgerwatch.operators.catalog import (
     VELOCITY,
     Rule,
 )
-from ledgerwatch.operators.warehouse import Warehouse
+from ledgerwatch.operators.queue import utc
+from ledgerwatch.operators.warehouse import Warehouse, dim_time, dim_txn_type
 from ledgerwatch.session import settle
 
 BUSINESS_KEY = ("name_orig", "name_dest", "amount", "step", "type")
 
-# The thresholds of the statistical and timeliness rules.
-OUTLIER_DEVIATIONS = 4
-VELOCITY_LIMIT = 10
-VELOCITY_BACK = 3
-SETTLEMENT_DAYS = 2
+# a string literal, a quoted name, or the parameter
+QUOTED_OR_MOMENT = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|:as_of\b")
 
 VELOCITY_BLOCK = 1024  # hours in one window group
 
 
+CODES_AT_ONCE = 20  # rules in one projection; the generated code of many more is not compiled
+
+
 def _tagged(df: DataFrame, codes: list[Column]) -> DataFrame:
-    """One (rule_id, txn_id) row per set code of each row; unset codes are NULL."""
-    return df.select(F.explode(F.array(*codes)).alias("rule_id"), "txn_id").where(
-        "rule_id IS NOT NULL"
-    )
+    """One (rule_id, txn_id) row per set code of each row; unset codes are NULL.
+
+    Long lists are cut into several scans, since one projection of them all would be interpreted.
+    """
+    chunks = range(0, len(codes), CODES_AT_ONCE)
+    return _stacked(
+        [
+            df.select(F.explode(F.array(*codes[k : k + CODES_AT_ONCE])).alias("rule_id"), "txn_id")
+            for k in chunks
+        ]
+    ).where("rule_id IS NOT NULL")
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def _code(rules: dict[str, Rule], rule_code: str, condition: Column) -> Column:
@@ -65,8 +81,13 @@ def _code(rules: dict[str, Rule], rule_code: str, condition: Column) -> Column:
 
 
 def predicate(rule: Rule, as_of: datetime) -> Column:
-    moment = f"TIMESTAMP_NTZ '{as_of:%Y-%m-%d %H:%M:%S.%f}'"
-    return F.expr(rule.rule_sql.replace(":as_of", moment))
+    moment = f"TIMESTAMP_NTZ '{utc(as_of):%Y-%m-%d %H:%M:%S.%f}'"
+    return F.expr(with_moment(rule.rule_sql, moment))
+
+
+def with_moment(text: str, moment: str) -> str:
+    """The text with `:as_of` replaced, but for what stands in quotes."""
+    return QUOTED_OR_MOMENT.sub(lambda m: m[0] if m[0] != ":as_of" else moment, text)
 
 
 def row_hits(fact: DataFrame, rules: Iterable[Rule], as_of: datetime) -> DataFrame:
@@ -117,9 +138,16 @@ def account_findings(wh: Warehouse) -> DataFrame:
 
 
 def copy_findings(fact: DataFrame) -> DataFrame:
-    """Business keys used more than once, with the first transaction that used them."""
+    """Business keys used more than once, with the first transaction that used them.
+
+    Hardly any key repeats, so folding before the shuffle saves nothing. Hashes of the key are
+    counted first; only rows whose hash comes twice are shuffled with their key.
+    """
+    hashed = fact.select(*BUSINESS_KEY, "txn_id", F.xxhash64(*BUSINESS_KEY).alias("_hash"))
+    twice = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     return (
-        fact.groupBy(*BUSINESS_KEY)
+        hashed.join(twice.select("_hash"), "_hash", "left_semi")
+        .groupBy(*BUSINESS_KEY)
         .agg(F.min("txn_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
@@ -133,12 +161,12 @@ def reference_findings(settlements: DataFrame) -> DataFrame:
     )
 
 
-def outlier_findings(fact: DataFrame) -> DataFrame:
+def outlier_findings(fact: DataFrame, deviations: float) -> DataFrame:
     """The highest ordinary amount of each type; a single row has no deviation, so no limit."""
     return (
         fact.groupBy("type")
         .agg(
-            (F.avg("amount").cast("double") + OUTLIER_DEVIATIONS * F.stddev_samp("amount")).alias(
+            (F.avg("amount").cast("double") + deviations * F.stddev_samp("amount")).alias(
                 "ceiling"
             ),
             F.count(F.lit(1)).alias("n"),
@@ -147,28 +175,30 @@ def outlier_findings(fact: DataFrame) -> DataFrame:
     )
 
 
-def velocity_findings(fact: DataFrame) -> DataFrame:
-    """(destination, hour) cells with more than ten arrivals in that hour and the three before.
+def velocity_findings(fact: DataFrame, limit: int, back: int) -> DataFrame:
+    """(destination, hour) cells with more than `limit` arrivals in that hour and the `back` before.
 
     Arrivals are counted per cell first. The frame then runs over blocks of hours, each
-    with the last three hours of the block before copied in, so a group has a fixed size
+    with the last hours of the block before copied in, so a group has a fixed size
     however long a destination's history is. Rows without an hour are peers of each other
     alone.
     """
     cells = fact.groupBy("name_dest", "step").agg(F.count(F.lit(1)).alias("n"))
+    if not 0 <= back < VELOCITY_BLOCK:
+        raise ValueError(f"hours_back must be under {VELOCITY_BLOCK}")
     block = F.floor(F.col("step") / VELOCITY_BLOCK)
-    late = F.pmod(F.col("step"), F.lit(VELOCITY_BLOCK)) >= VELOCITY_BLOCK - VELOCITY_BACK
+    late = F.pmod(F.col("step"), F.lit(VELOCITY_BLOCK)) >= VELOCITY_BLOCK - back
     blocks = F.when(late, F.array(block, block + 1)).otherwise(F.array(block))
     frame = (
         Window.partitionBy("name_dest", "_block")
         .orderBy(F.col("step").cast("bigint"))
-        .rangeBetween(-VELOCITY_BACK, Window.currentRow)
+        .rangeBetween(-back, Window.currentRow)
     )
     return (
         cells.withColumn("_own", block)
         .withColumn("_block", F.explode(blocks))
         .withColumn("arrivals", F.sum("n").over(frame))
-        .where(F.col("_block").eqNullSafe(F.col("_own")) & (F.col("arrivals") > VELOCITY_LIMIT))
+        .where(F.col("_block").eqNullSafe(F.col("_own")) & (F.col("arrivals") > limit))
         .select("name_dest", "step", "n", "arrivals")
     )
 
@@ -194,7 +224,8 @@ def settlement_hits(wh: Warehouse, rules: dict[str, Rule]) -> DataFrame:
     )
     joined = wh.fact.select("txn_id", "amount", "txn_ts").join(settled, "txn_id", "left")
     differs = (F.col("amount") != F.col("least")) | (F.col("amount") != F.col("most"))
-    due = F.date_add(F.to_date("txn_ts"), SETTLEMENT_DAYS)
+    days = int(rules["LATE_SETTLEMENT"].limit("days")) if "LATE_SETTLEMENT" in rules else 0
+    due = F.date_add(F.to_date("txn_ts"), days)
     tests = {
         "SETTLEMENT_MISSING": F.col("settled").isNull(),
         "SETTLEMENT_AMOUNT_DIFF": differs,
@@ -214,7 +245,6 @@ def reference_hits(wh: Warehouse, rule: Rule, lookup: Lookup) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"))
         .where("NOT txn_id <=> first_id OR copies > 1")
         .select(F.lit(rule.rule_id).alias("rule_id"), "txn_id")
-        .distinct()
     )
 
 
@@ -236,7 +266,7 @@ def _account_hits_shuffled(wh: Warehouse, rules: dict[str, Rule], lookup: Lookup
         "DUP_CUSTOMER_MASTER": F.col("repeated"),
     }
     codes = [_code(rules, code, test) for code, test in tests.items() if code in rules]
-    return _tagged(join_back(sides, lookup, heavy), codes).distinct()
+    return _tagged(join_back(sides, lookup, heavy), codes)
 
 
 def _by_kind(rules: Iterable[Rule]) -> dict[str, dict[str, Rule]]:
@@ -259,11 +289,21 @@ def _lookups(
     wh: Warehouse, kinds: dict[str, dict[str, Rule]], limits: Limits
 ) -> dict[str, Lookup]:
     """The findings the active rules need. They do not depend on each other and run side by side."""
+
+    def limit(kind: str, name: str) -> float:
+        (rule,) = kinds[kind].values()
+        return rule.limit(name)
+
     findings = {
         ACCOUNT: (lambda: account_findings(wh), ("account",)),
         COPIES: (lambda: copy_findings(wh.fact), BUSINESS_KEY),
-        OUTLIER: (lambda: outlier_findings(wh.fact), ("type",)),
-        VELOCITY: (lambda: velocity_findings(wh.fact), ("name_dest", "step")),
+        OUTLIER: (lambda: outlier_findings(wh.fact, limit(OUTLIER, "deviations")), ("type",)),
+        VELOCITY: (
+            lambda: velocity_findings(
+                wh.fact, int(limit(VELOCITY, "arrivals")), int(limit(VELOCITY, "hours_back"))
+            ),
+            ("name_dest", "step"),
+        ),
         REFERENCE: (lambda: reference_findings(wh.settlements), ("settlement_ref",)),
     }
     wanted = {kind: found for kind, found in findings.items() if kind in kinds}
@@ -281,13 +321,20 @@ def _lookups(
 def failing(
     wh: Warehouse, rules: Iterable[Rule], as_of: datetime, limits: Limits = Limits()
 ) -> DataFrame:
-    """(rule_id, txn_id) of every active rule, each pair once given that txn_id is a key."""
+    """(rule_id, txn_id) of every active rule, each pair once, also if txn_id is no key."""
+    return failing_pairs(wh, rules, as_of, limits).distinct()
+
+
+def failing_pairs(
+    wh: Warehouse, rules: Iterable[Rule], as_of: datetime, limits: Limits = Limits()
+) -> DataFrame:
+    """As `failing`, but a pair may come more than once; for callers that fold them anyway."""
     kinds = _by_kind(rules)
     scan, codes, parts = wh.fact, [], []
     lookups = _lookups(wh, kinds, limits)
 
-    for rule in kinds.get(ROW, {}).values():
-        codes.append(F.when(predicate(rule, as_of), F.lit(rule.rule_id)))
+    if kinds.get(ROW):
+        parts.append(row_hits(wh.fact, kinds[ROW].values(), as_of))
 
     if ACCOUNT in lookups:
         wanted, lookup = kinds[ACCOUNT], lookups[ACCOUNT]
@@ -337,33 +384,38 @@ def failing(
         )
     for rule in kinds.get(QUERY, {}).values():
         parts.append(
-            query_result(wh, rule.rule_sql)
-            .distinct()
-            .select(F.lit(rule.rule_id).alias("rule_id"), "txn_id")
+            query_result(wh, rule.rule_sql).select(F.lit(rule.rule_id).alias("rule_id"), "txn_id")
         )
     return _union(wh, parts)
 
 
 def query_result(wh: Warehouse, text: str) -> DataFrame:
     """The txn_id column of a query rule over the warehouse tables."""
+    named = set(re.findall(r"\{(\w+)\}", text))
+    used = {name: make() for name, make in query_tables(wh).items() if name in named}
+    return wh.fact.sparkSession.sql(text, **used).select(F.col("txn_id").cast("bigint"))
+
+
+def query_tables(wh: Warehouse) -> dict:
+    """The tables a query rule may name in braces; the derived ones are made if they are named."""
     tables = {
-        "fact": wh.fact,
-        "customer_master": wh.customer_master,
-        "settlements": wh.settlements,
-        "dim_customer": wh.dim_customer,
-        "scores": wh.scores,
+        "fact": lambda: wh.fact,
+        "customer_master": lambda: wh.customer_master,
+        "settlements": lambda: wh.settlements,
+        "dim_customer": lambda: wh.dim_customer,
+        "dim_time": lambda: dim_time(wh.fact),
+        "dim_txn_type": lambda: dim_txn_type(wh.fact.sparkSession),
     }
-    used = {name: df for name, df in tables.items() if df is not None and f"{{{name}}}" in text}
-    return wh.fact.sparkSession.sql(text, **used).select(F.col("txn_id").cast("bigint"))
+    for name in ("scores", "injected_defects"):
+        if getattr(wh, name) is not None:
+            tables[name] = lambda name=name: getattr(wh, name)
+    return tables
 
 
 def _union(wh: Warehouse, parts: list[DataFrame]) -> DataFrame:
     if not parts:
         return wh.fact.sparkSession.createDataFrame([], "rule_id int, txn_id bigint")
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return _stacked(parts)
 
 
 def failing_rule(

@@ -12,13 +12,15 @@ from ledgerwatch.functions.expressions import DIRECTIONS, event_time
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables the rules read. `scores` exists once the anomaly model has run."""
+    """The tables the rules read. `scores` exists once the anomaly model has run, and
+    `injected_defects` where defects were seeded."""
 
     fact: DataFrame
     customer_master: DataFrame
     settlements: DataFrame
     dim_customer: DataFrame
     scores: DataFrame | None = None
+    injected_defects: DataFrame | None = None
 
 
 def dim_customer(customer_master: DataFrame) -> DataFrame:
@@ -73,10 +75,10 @@ def build_warehouse(
 def key_violations(df: DataFrame, key: str, table: str) -> DataFrame:
     """Keys that are NULL or used more than once."""
     return (
-        df.groupBy(F.col(key).cast("string").alias("key_value"))
+        df.groupBy(F.col(key).alias("key_value"))
         .agg(F.count(F.lit(1)).alias("copies"))
         .where("copies > 1 OR key_value IS NULL")
-        .select(F.lit(table).alias("table_name"), "key_value", "copies")
+        .select(F.lit(table).alias("table_name"), F.col("key_value").cast("string").alias("key_value"), "copies")
     )
 
 
@@ -120,18 +122,17 @@ def account_universe(staged: DataFrame) -> DataFrame:
 def star_join_daily(fact: DataFrame, customers: DataFrame, spark: SparkSession) -> DataFrame:
     """Transactions by day, origin segment and direction.
 
-    The fact is folded to (account, type, hour) before it meets the customer
-    dimension: a busy account then has at most one row per type and hour.
+    The fact meets the customer dimension once, on the account, and is folded to a few rows a day
+    by each task before the second shuffle. A dimension that turns out small enough is broadcast
+    instead, and a busy account's rows are dealt to several tasks (adaptive execution does both).
     """
-    folded = fact.groupBy("name_orig", "type", "step").agg(
-        F.count(F.lit(1)).alias("txns"), F.sum("amount").alias("total")
-    )
     types = dim_txn_type(spark).select("type", "direction")
     who = customers.select(F.col("account_id").alias("name_orig"), "segment")
     # the time dimension is a function of its key, so its fields are derived, not joined
     return (
-        folded.join(who, "name_orig", "left")
+        fact.select("name_orig", "type", "step", "amount")
+        .join(who, "name_orig", "left")
         .join(F.broadcast(types), "type", "left")
         .groupBy(F.to_date(event_time()).alias("txn_date"), "segment", "direction")
-        .agg(F.sum("txns").alias("txns"), F.sum("total").alias("total_amount"))
+        .agg(F.count(F.lit(1)).alias("txns"), F.sum("amount").alias("total_amount"))
     )

@@ -207,8 +207,10 @@ def control_trend(control: DataFrame) -> DataFrame:
 
 
 def rule_date_matrix(scorecard: DataFrame, days: list[str] | None = None) -> DataFrame:
-    """Failures by rule and day, a column per day (listed, or found up to Spark's pivot bound)."""
+    """Failures by rule and day, a column per day: the listed days, or all in the scorecard."""
     keyed = scorecard.withColumn("day", F.date_format("run_date", "yyyy-MM-dd"))
+    if days is None:
+        days = [row.day for row in keyed.select("day").distinct().orderBy("day").collect()]
     return keyed.groupBy("rule_code").pivot("day", days).agg(F.sum("records_failed"))
 
 

@@ -45,11 +45,11 @@ stg_transactions AS (
          is_fraud, is_flagged_fraud
   FROM picked
   UNION ALL
-  SELECT txn_id + 10000000, step, type, amount, name_orig, oldbalance_org, newbalance_orig,
+  SELECT txn_id + 1000000000000000, step, type, amount, name_orig, oldbalance_org, newbalance_orig,
          name_dest, oldbalance_dest, newbalance_dest, is_fraud, is_flagged_fraud
   FROM picked WHERE b IN (4, 5)),
 injected_defects AS (
-  SELECT CASE WHEN b IN (4, 5) THEN txn_id + 10000000 ELSE txn_id END AS txn_id,
+  SELECT CASE WHEN b IN (4, 5) THEN txn_id + 1000000000000000 ELSE txn_id END AS txn_id,
          CASE WHEN b IN (0, 1) THEN 'NULL_AMOUNT' WHEN b IN (2, 3) THEN 'NEG_AMOUNT'
               WHEN b IN (4, 5) THEN 'DUP_TXN' WHEN b = 6 THEN 'BAD_ACCT_FORMAT'
               WHEN b = 8 THEN 'INVALID_TYPE' WHEN b IN (9, 10) THEN 'BAL_TAMPERING'
@@ -232,11 +232,19 @@ _ROW_TEXT = " || '|' || ".join(
 )
 _ROW_ORDER = ", ".join(f"{c} NULLS FIRST" for c in _ROW_COLUMNS.split(", "))
 _FEATURE_TYPES = ("0", "CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER", "WIRE")
-_DAYS = ["2025-12-31"] + [f"2026-01-{day:02d}" for day in range(1, 32)]
 _TOP = """top AS (
   SELECT rule_code, dimension, severity, failed, round(100.0 * (1 - failed / checked), 3) AS rate
   FROM run ORDER BY failed DESC, rule_code LIMIT 10)"""
 
+# the published rates as upper bounds of a draw below 2^31 - 1, in thousandths
+_OTHER_SEED = " ".join(
+    f"WHEN x < {upto} * 2147483.647 THEN '{defect}'"
+    for defect, upto in (
+        ("NULL_AMOUNT", 2), ("NEG_AMOUNT", 4), ("DUP_TXN", 6), ("BAD_ACCT_FORMAT", 7),
+        ("INVALID_TYPE", 8), ("BAL_TAMPERING", 10), ("STEP_OUT_OF_RANGE", 11), ("ZERO_AMOUNT", 12),
+    )
+)
+
 ORACLES: dict[str, str] = {
     "stage_transactions": _base(f"SELECT txn_id, {_STAGED} FROM stg_transactions"),
     "stage_transactions_without_key": _base(
@@ -253,8 +261,19 @@ ORACLES: dict[str, str] = {
         " CAST(sum(settled_amount) AS DOUBLE) AS settled_total FROM settlements WHERE txn_id % 50 <> 0"
         " UNION ALL SELECT 'rejected', count(*), NULL FROM settlements WHERE txn_id % 50 = 0"
     ),
+    "stage_text_feed": _base(
+        "SELECT 'staged' AS outcome, count(*) AS rows,"
+        " CAST(sum(settled_amount) AS DOUBLE) AS settled_total FROM settlements WHERE txn_id % 50 <> 0"
+        " UNION ALL SELECT 'rejected', count(*), NULL FROM settlements WHERE txn_id % 50 = 0"
+    ),
     "inject_defects": _base(f"SELECT txn_id, {_STAGED} FROM stg_transactions"),
     "injected_defects_log": _base("SELECT txn_id, defect_type FROM injected_defects"),
+    "inject_defects_other_seed": _base(
+        "SELECT * FROM (SELECT CASE WHEN defect_type = 'DUP_TXN' THEN txn_id + 1000000000000000 ELSE txn_id END"
+        f" AS txn_id, defect_type FROM (SELECT txn_id, CASE {_OTHER_SEED} END AS defect_type FROM"
+        f" (SELECT txn_id, (txn_id % 2147483647 + {42 * 16807}) * 1583458089 % 2147483647 AS x FROM clean)))"
+        " WHERE defect_type IS NOT NULL"
+    ),
     "defect_counts": _base(
         "SELECT defect_type, count(*) AS injected FROM injected_defects GROUP BY defect_type"
     ),
@@ -334,11 +353,22 @@ ORACLES: dict[str, str] = {
         " CASE WHEN txn_id % 20 = 0 THEN '2026-01-22 09:00:00' END AS resolved_at,"
         " CASE WHEN txn_id % 20 = 0 THEN 'explained' END AS note FROM queue"
     ),
+    "forty_user_rules": _base(
+        "SELECT CAST(31 + step % 40 AS BIGINT) AS rule_id, txn_id FROM fact"
+        " WHERE step >= 0 AND amount > 1000 * (step % 40)"
+    ),
+    "catalog_round_trip": _base(
+        "SELECT CAST(28 AS BIGINT) AS rule_id, txn_id FROM fact QUALIFY amount >"
+        " avg(amount) OVER (PARTITION BY type) + 3 * stddev_samp(amount) OVER (PARTITION BY type)"
+        " UNION ALL SELECT 31, txn_id FROM fact WHERE amount > 500000 AND oldbalance_dest < newbalance_dest"
+        " UNION ALL SELECT 6, txn_id FROM fact WHERE amount < 0"
+    ),
     "custom_sql_rule": _base(
         "SELECT CAST(31 AS BIGINT) AS rule_id, txn_id FROM fact"
         " WHERE amount > 500000 AND oldbalance_dest < newbalance_dest"
         " UNION ALL SELECT 32, txn_id FROM fact WHERE type = 'TRANSFER' AND name_orig IN"
         " (SELECT account_id FROM dim_customer WHERE kyc_status = 'REJECTED')"
+        " UNION ALL SELECT 33, txn_id FROM fact WHERE type = 'CASH_IN' AND extract(hour FROM txn_ts) = 3"
     ),
     "recall_literal": _run(
         "SELECT defect_type, count(*) AS injected, count(h.txn_id) AS caught,"
@@ -412,11 +442,12 @@ ORACLES: dict[str, str] = {
         " count(*) FILTER (WHERE NOT sla_met) AS sla_breaches FROM control GROUP BY day"
     ),
     "rule_date_matrix": _run(
-        "SELECT rule_code, "
-        + ", ".join(
-            f"CAST(sum(failed) FILTER (WHERE day = DATE '{day}') AS BIGINT) AS \"{day}\"" for day in _DAYS
-        )
-        + " FROM day_run GROUP BY rule_code"
+        "SELECT * FROM (PIVOT (SELECT rule_code, CAST(day AS VARCHAR) AS day, failed FROM day_run)"
+        " ON day USING CAST(sum(failed) AS BIGINT) GROUP BY rule_code)"
+    ),
+    "dest_lookup_laid_out": _base(
+        "SELECT type, count(*) AS txn_count FROM fact"
+        " WHERE name_dest = 'C7' AND step >= 100 AND step <= 200 GROUP BY type"
     ),
     "dest_lookup": _base(
         "SELECT type, count(*) AS txn_count FROM fact"
@@ -464,9 +495,30 @@ ORACLES: dict[str, str] = {
         " is_anomaly FROM fact f JOIN flagged g ON g.txn_id = f.txn_id"
         " ORDER BY g.score DESC, f.txn_id LIMIT 50"
     ),
+    "rule_anomaly_given_scores": _given("SELECT txn_id FROM flagged WHERE is_anomaly"),
+    "exceptions_given_scores": _given(
+        "SELECT CAST(30 AS BIGINT) AS rule_id, txn_id, '2026-01-20 00:00:00' AS detected_at,"
+        " 'OPEN' AS status, CAST(NULL AS VARCHAR) AS assigned_to,"
+        " CAST(NULL AS VARCHAR) AS resolved_at, CAST(NULL AS VARCHAR) AS note FROM flagged WHERE is_anomaly"
+    ),
+    "flag_counts_given_scores": _given(
+        "SELECT is_anomaly, count(*) AS txn_count,"
+        " round(100 * count(*) / (SELECT count(*) FROM flagged), 8) AS share_pct, min(score) AS min_score,"
+        " round(avg(score), 8) AS mean_score, max(score) AS max_score FROM flagged GROUP BY is_anomaly"
+    ),
+    "by_type_given_scores": _given(
+        "SELECT type, count(*) AS anomalies, round(avg(f.score), 8) AS mean_score"
+        " FROM flagged f JOIN given g ON g.txn_id = f.txn_id WHERE is_anomaly GROUP BY type"
+    ),
+    "forest_invariants": "SELECT CAST(200 AS BIGINT) AS trees, CAST(256 AS BIGINT) AS least_rows,"
+    " CAST(256 AS BIGINT) AS most_rows, true AS within_depth",
     "histogram_given_scores": _given(
         "SELECT CASE WHEN score < 0 THEN 0 WHEN score >= 1 THEN 21"
         " ELSE CAST(floor(score * 20) AS BIGINT) + 1 END AS bin, is_anomaly, count(*) AS txn_count"
         " FROM flagged GROUP BY ALL"
     ),
 }
+ORACLES["summary_store"] = ORACLES["control_summary"]
+ORACLES["reset_run"] = _run(
+    "SELECT CAST(rule_id AS BIGINT) AS rule_id, count(*) AS queued FROM queue GROUP BY rule_id"
+)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
@@ -12,14 +13,21 @@ from pyspark.sql import types as T
 
 from ledgerwatch.operators import anomaly, defects, recall, staging
 from ledgerwatch.operators import warehouse as dw
-from ledgerwatch.operators.catalog import add_rule, catalog_frame, set_active, standard_rules
+from ledgerwatch.operators.catalog import (
+    add_rule,
+    catalog_frame,
+    rules_from_frame,
+    set_active,
+    standard_rules,
+)
 from ledgerwatch.operators.queue import apply_updates, mark_new, new_exceptions
 from ledgerwatch.operators.rules import failing, failing_rule
 from ledgerwatch.plans import marts
 from ledgerwatch.plans import testbed as tb
-from ledgerwatch.plans.run import run_rules, score_transactions
-from ledgerwatch.session import settle
+from ledgerwatch.plans.run import reset_store, run_rules, score_transactions, store_pipeline
+from ledgerwatch.session import scratch_root, settle
 from ledgerwatch.sources import tables
+from ledgerwatch.sources.schemas import EXCEPTIONS, SUMMARIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +35,11 @@ RULES = standard_rules()
 AS_OF = tb.AS_OF
 REPORT_DATE = date(2026, 1, 20)
 LOOKUP = ("C7", 100, 200)
-DAYS = ["2025-12-31"] + [f"2026-01-{day:02d}" for day in range(1, 32)]
 CUSTOM_PREDICATE = "amount > 500000 AND oldbalance_dest < newbalance_dest"
+NIGHT_QUERY = (
+    "SELECT f.txn_id FROM {fact} f JOIN {dim_time} t ON f.step = t.time_key"
+    " JOIN {dim_txn_type} k ON f.type = k.type WHERE t.hour_of_day = 3 AND k.direction = 'CREDIT'"
+)
 CUSTOM_QUERY = (
     "SELECT f.txn_id FROM {fact} f JOIN {dim_customer} c ON f.name_orig = c.account_id"
     " WHERE c.kyc_status = 'REJECTED' AND f.type = 'TRANSFER'"
@@ -50,6 +61,10 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _catalog(spark: SparkSession) -> DataFrame:
     return catalog_frame(spark, RULES)
 
@@ -135,6 +150,27 @@ def injected_defects_log(spark, sf_dir):
     return tb.damaged(spark, sf_dir)[1]
 
 
+def inject_defects_other_seed(spark, sf_dir):
+    """The published rates under the seed of the model."""
+    clean = tb.clean_transactions(spark, sf_dir)
+    return defects.inject_defects(clean, seed=anomaly.SEED, duplicate_offset=tb.COPY_OFFSET)[1]
+
+
+def stage_text_feed(spark, sf_dir):
+    """Settlements written as a text feed, every 50th with a field too many, and read again."""
+    path = scratch_path(spark, "feed")
+    long = F.when(F.col("txn_id") % 50 == 0, F.concat("settlement_date", F.lit(",more"))).otherwise(F.col("settlement_date"))
+    feed = tb.as_text(tb.settlements(spark, sf_dir)).withColumn("settlement_date", long)
+    feed.write.option("header", True).option("quote", "").csv(path)
+    good, bad = staging.stage_with_rejects(tables.read_feed(spark, "settlements", path), "settlements")
+    outcome = [F.count(F.lit(1)).alias("rows"), F.sum("settled_amount").cast("double").alias("settled_total")]
+    staged = good.agg(*outcome).select(F.lit("staged").alias("outcome"), "*")
+    rejected = bad.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("rejected").alias("outcome"), "rows", F.lit(None).cast("double").alias("settled_total")
+    )
+    return plain(staged.unionByName(rejected))
+
+
 def defect_counts(spark, sf_dir):
     return defects.defect_counts(tb.damaged(spark, sf_dir)[1])
 
@@ -292,10 +328,8 @@ def exception_lifecycle(spark, sf_dir):
         "'again' AS note",
         "TIMESTAMP '2026-01-23 09:00:00' AS updated_at",
     )
-    worked = queue
-    for updates in (taken, closed, reopened):
-        worked = apply_updates(worked, updates)
-    return plain(worked.drop("exception_id"))
+    updates = taken.unionByName(closed).unionByName(reopened)
+    return plain(apply_updates(settle(queue)[0], updates).drop("exception_id"))
 
 
 def custom_sql_rule(spark, sf_dir):
@@ -305,8 +339,35 @@ def custom_sql_rule(spark, sf_dir):
     rules = add_rule(
         rules, "REJECTED_SENDER", "Integrity", "HIGH", "Rejected sender", query=CUSTOM_QUERY
     )
+    rules = add_rule(
+        rules, "NIGHT_CREDIT", "Validity", "LOW", "Credit at night", query=NIGHT_QUERY
+    )
     wh = tb.warehouse(spark, sf_dir)
-    return plain(failing(wh, rules[-2:], AS_OF))
+    return plain(failing(wh, rules[-3:], AS_OF))
+
+
+def forty_user_rules(spark, sf_dir):
+    """More predicates than one generated projection can hold."""
+    rules = RULES
+    for k in range(40):
+        text = f"amount > {k * 1000} AND step % 40 = {k}"
+        rules = add_rule(rules, f"USER_{k}", "Validity", "LOW", "A user's rule", predicate=text)
+    return plain(failing(tb.warehouse(spark, sf_dir), rules[len(RULES):], AS_OF))
+
+
+def catalog_round_trip(spark, sf_dir):
+    """A stored catalog that someone edited: a limit changed, a rule off, a rule added."""
+    path = scratch_path(spark, "catalog")
+    fresh = add_rule(RULES, "LARGE_CREDIT", "Validity", "LOW", "Large credit", predicate=CUSTOM_PREDICATE)
+    edited = catalog_frame(spark, fresh).withColumns({
+        "params": F.when(F.col("rule_code") == "AMOUNT_ZSCORE_BY_TYPE", F.create_map(F.lit("deviations"), F.lit(3.0)))
+        .otherwise(F.col("params")),
+        "active": F.col("active") & (F.col("rule_code") != "SELF_TRANSFER"),
+    })
+    tables.replace_table(edited, path)
+    rules = rules_from_frame(tables.read_table(spark, path))
+    chosen = ("AMOUNT_ZSCORE_BY_TYPE", "SELF_TRANSFER", "LARGE_CREDIT", "NEG_AMOUNT")
+    return plain(failing(tb.warehouse(spark, sf_dir), [r for r in rules if r.rule_code in chosen], AS_OF))
 
 
 def recall_literal(spark, sf_dir):
@@ -349,6 +410,29 @@ def top_failing_rules_latest_day(spark, sf_dir):
     return plain(marts.top_failing_rules(scorecard))
 
 
+def summary_store(spark, sf_dir):
+    """The latest of the summaries that runs have appended to their table."""
+    path = scratch_path(spark, "summaries")
+    earlier = spark.createDataFrame([(date(2026, 1, 19), "an earlier summary")], SUMMARIES)
+    tables.append_table(earlier, path)
+    top = marts.top_failing_rules(_scorecard(spark, sf_dir))
+    tables.append_table(marts.control_summary(top, REPORT_DATE), path)
+    return plain(marts.latest_summary(tables.read_table(spark, path, SUMMARIES)))
+
+
+def reset_run(spark, sf_dir):
+    """A stored queue is emptied; the next run queues all findings again."""
+    folder = scratch_path(spark, "store")
+    first = _run(spark, sf_dir)
+    store_pipeline({"new_exceptions": first.exceptions, "new_run_log": first.log}, folder)
+    reset_store(spark, folder)
+    queue = tables.read_table(spark, f"{folder}/exceptions", EXCEPTIONS)
+    again = run_rules(tb.warehouse(spark, sf_dir), RULES, AS_OF, queue=queue)
+    store_pipeline({"new_exceptions": again.exceptions, "new_run_log": again.log}, folder)
+    stored = tables.read_table(spark, f"{folder}/exceptions", EXCEPTIONS)
+    return plain(stored.groupBy("rule_id").agg(F.count(F.lit(1)).alias("queued")))
+
+
 def control_summary(spark, sf_dir):
     top = marts.top_failing_rules(_scorecard(spark, sf_dir))
     return plain(marts.control_summary(top, REPORT_DATE))
@@ -379,13 +463,19 @@ def control_trend(spark, sf_dir):
 
 
 def rule_date_matrix(spark, sf_dir):
-    return marts.rule_date_matrix(_daily_scorecard(spark, sf_dir), DAYS)
+    return marts.rule_date_matrix(settle(_daily_scorecard(spark, sf_dir))[0])
 
 
 def dest_lookup(spark, sf_dir):
     return tables.destination_counts(tb.warehouse(spark, sf_dir).fact, *LOOKUP)
 
 
+def dest_lookup_laid_out(spark, sf_dir):
+    path = scratch_path(spark, "laid-out")
+    tables.write_lookup_layout(tb.warehouse(spark, sf_dir).fact, path)
+    return tables.destination_counts(tables.read_table(spark, path), *LOOKUP)
+
+
 def fraud_subset(spark, sf_dir):
     return plain(tables.fraud_rows(tb.warehouse(spark, sf_dir).fact).select("txn_id", "amount"))
 
@@ -459,6 +549,42 @@ def exceptions_with_ml(spark, sf_dir):
     return plain(run_rules(scored, rules, AS_OF, queue=queue).exceptions)
 
 
+def _with_given_scores(spark, sf_dir):
+    flagged = anomaly.flag(_given_scores(spark, sf_dir)).select("txn_id", "score", "is_anomaly")
+    return replace(tb.warehouse(spark, sf_dir), scores=flagged)
+
+
+def rule_anomaly_given_scores(spark, sf_dir):
+    return failing_rule(_with_given_scores(spark, sf_dir), RULES, "ANOMALY_IFOREST", AS_OF)
+
+
+def exceptions_given_scores(spark, sf_dir):
+    """The model rule switched on, on top of a queue of all other findings."""
+    wh = _with_given_scores(spark, sf_dir)
+    queue = new_exceptions(mark_new(failing(wh, RULES, AS_OF), None), AS_OF)
+    rules = [r for r in set_active(RULES, "ANOMALY_IFOREST") if r.rule_code == "ANOMALY_IFOREST"]
+    return plain(run_rules(wh, rules, AS_OF, queue=queue).exceptions.drop("exception_id"))
+
+
+def flag_counts_given_scores(spark, sf_dir):
+    counts = anomaly.flag_counts(anomaly.flag(_given_scores(spark, sf_dir)))
+    return _rounded(_rounded(counts, "share_pct"), "mean_score")
+
+
+def by_type_given_scores(spark, sf_dir):
+    return _rounded(marts.anomalies_by_type(_overview_given(spark, sf_dir)), "mean_score")
+
+
+def forest_invariants(spark, sf_dir):
+    """What any forest of the published settings has, whatever its draws."""
+    leaves = anomaly.train(_features(spark, sf_dir)).where("feature < 0")
+    per_tree = leaves.groupBy("tree").agg(F.sum("rows").alias("rows"), F.max("depth").alias("depth"))
+    return plain(per_tree.agg(
+        F.count(F.lit(1)).alias("trees"), F.min("rows").alias("least_rows"), F.max("rows").alias("most_rows"),
+        (F.max("depth") <= anomaly.DEPTH).alias("within_depth"),
+    ))
+
+
 def _overview(spark, sf_dir):
     wh = tb.warehouse(spark, sf_dir)
     return marts.anomaly_overview(wh.fact, score_transactions(wh))
@@ -504,8 +630,10 @@ QUERIES: dict[str, Query] = {
     "stage_customer_master": stage_customer_master,
     "stage_settlements": stage_settlements,
     "stage_rejects": stage_rejects,
+    "stage_text_feed": stage_text_feed,
     "inject_defects": inject_defects,
     "injected_defects_log": injected_defects_log,
+    "inject_defects_other_seed": inject_defects_other_seed,
     "defect_counts": defect_counts,
     "dim_customer": dim_customer,
     "dim_txn_type": dim_txn_type,
@@ -529,6 +657,8 @@ QUERIES: dict[str, Query] = {
     "run_log_second_run": run_log_second_run,
     "exception_lifecycle": exception_lifecycle,
     "custom_sql_rule": custom_sql_rule,
+    "forty_user_rules": forty_user_rules,
+    "catalog_round_trip": catalog_round_trip,
     "recall_literal": recall_literal,
     "recall_attributed": recall_attributed,
     "mart_rule_scorecard": mart_rule_scorecard,
@@ -539,6 +669,8 @@ QUERIES: dict[str, Query] = {
     "top_failing_rules": top_failing_rules,
     "top_failing_rules_latest_day": top_failing_rules_latest_day,
     "control_summary": control_summary,
+    "summary_store": summary_store,
+    "reset_run": reset_run,
     "kpi_pass_rate": kpi_pass_rate,
     "kpi_open_high": kpi_open_high,
     "kpi_sla_met": kpi_sla_met,
@@ -546,6 +678,7 @@ QUERIES: dict[str, Query] = {
     "control_trend": control_trend,
     "rule_date_matrix": rule_date_matrix,
     "dest_lookup": dest_lookup,
+    "dest_lookup_laid_out": dest_lookup_laid_out,
     "fraud_subset": fraud_subset,
     "open_queue": open_queue,
     "anomaly_features": anomaly_features,
@@ -561,5 +694,10 @@ QUERIES: dict[str, Query] = {
     "overview_given_scores": overview_given_scores,
     "top50_given_scores": top50_given_scores,
     "histogram_given_scores": histogram_given_scores,
+    "rule_anomaly_given_scores": rule_anomaly_given_scores,
+    "exceptions_given_scores": exceptions_given_scores,
+    "flag_counts_given_scores": flag_counts_given_scores,
+    "by_type_given_scores": by_type_given_scores,
+    "forest_invariants": forest_invariants,
     "exceptions_with_ml": exceptions_with_ml,
 }

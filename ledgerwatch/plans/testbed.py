@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.draws import bucket
 from ledgerwatch.functions.expressions import event_time
 from ledgerwatch.operators.catalog import Rule
-from ledgerwatch.operators.defects import TEST_DRAWS, inject_defects
+from ledgerwatch.operators.defects import TEST_DRAWS, bucket_draws, inject_defects
 from ledgerwatch.operators.warehouse import Warehouse, build_warehouse
 
 AS_OF = datetime(2026, 1, 20)
-COPY_OFFSET = 10_000_000
+COPY_OFFSET = 10**15  # out of reach of any number of orders
 
 
 # The columns that are read; declaring them spares a schema lookup per table.
@@ -90,7 +90,7 @@ def with_source_defects(clean: DataFrame) -> DataFrame:
 def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Staged transactions with the seeded defects, and their log."""
     source = with_source_defects(clean_transactions(spark, sf_dir))
-    return inject_defects(source, TEST_DRAWS, duplicate_offset=COPY_OFFSET)
+    return inject_defects(source, bucket_draws(TEST_DRAWS), duplicate_offset=COPY_OFFSET)
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,36 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_settled: list[str] = []  # folders written by this process, for `dropping_settled`
+
+
+@contextmanager
+def dropping_settled(spark: SparkSession):
+    """Drops, at the end of the block, what was settled in it. Results must be stored by then."""
+    before = len(_settled)
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_settled) > before:
+            path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let every executor import this package, wherever the driver has it from.
+
+    Needed where executors do not have it installed; once for each session.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_ledgerwatch_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="ledgerwatch-")
+    context.addPyFile(shutil.make_archive(f"{folder}/ledgerwatch", "zip", os.path.dirname(root), "ledgerwatch"))
+    context._ledgerwatch_shipped = True
+
+
 def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     """Write a frame to the scratch folder, read it back, and return the metrics of the write.
 
@@ -58,4 +90,5 @@ def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     path = os.path.join(scratch_root(spark), f"table-{uuid.uuid4().hex}")
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
+    _settled.append(path)
     return spark.read.schema(df.schema).parquet(path), seen.get

@@ -39,12 +39,27 @@ FEEDS = {
 }
 
 
+MALFORMED = "_malformed"  # the line as it came, if its fields are too few or too many
+
+
 def landing_schema(feed: str, keyed: bool = False) -> T.StructType:
     """All-text schema of a feed; `keyed` puts the source's own txn_id in front."""
     names = [name for name, _ in FEEDS[feed]]
     if keyed:
         names.insert(0, "txn_id")
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*names, MALFORMED]])
+
+
+# How text feeds are read, in batch and stream: header names are checked against the schema, and
+# a row of the wrong length is kept apart instead of being cut or filled up.
+FEED_OPTIONS = {
+    "header": True,
+    "enforceSchema": False,
+    "emptyValue": "",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": MALFORMED,
+    "columnPruning": False,
+}
 
 
 EXCEPTIONS = (

@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.sources.schemas import landing_schema
+from ledgerwatch.sources.schemas import FEED_OPTIONS, landing_schema
 
 
 def read_feed(spark: SparkSession, feed: str, path: str, keyed: bool = False) -> DataFrame:
-    """A delimited text feed with a header, every column as text, no inference."""
-    return (
-        spark.read.schema(landing_schema(feed, keyed))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    """A delimited text feed with a header, every column as text, no inference.
+
+    A row with too few or too many fields has its line in the column `_malformed`.
+    """
+    return spark.read.schema(landing_schema(feed, keyed)).options(**FEED_OPTIONS).csv(path)
 
 
 def write_feed(df: DataFrame, path: str) -> None:

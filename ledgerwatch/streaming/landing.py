@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.operators.catalog import ROW, Rule
@@ -18,7 +19,7 @@ from ledgerwatch.operators.queue import mark_new, new_exceptions
 from ledgerwatch.operators.rules import row_hits
 from ledgerwatch.operators.staging import stage
 from ledgerwatch.operators.warehouse import fact_transactions
-from ledgerwatch.sources.schemas import EXCEPTIONS, landing_schema
+from ledgerwatch.sources.schemas import EXCEPTIONS, FEED_OPTIONS, landing_schema
 from ledgerwatch.sources.tables import append_table, read_table
 
 
@@ -26,8 +27,7 @@ def landed_transactions(spark: SparkSession, path: str) -> DataFrame:
     """A stream of fact rows from keyed transaction feeds dropped into a folder."""
     raw = (
         spark.readStream.schema(landing_schema("transactions", keyed=True))
-        .option("header", True)
-        .option("emptyValue", "")
+        .options(**FEED_OPTIONS)
         .csv(path)
     )
     return fact_transactions(stage(raw, "transactions"))
@@ -45,11 +45,16 @@ def queue_landed(
     append_table(spark.createDataFrame([], EXCEPTIONS), queue_path)
 
     def add(batch: DataFrame, _number: int) -> None:
-        # only queue rows on the batch's transactions can be repeats
+        # only queue rows on the batch's transactions can be repeats: their range of ids prunes
+        # the queue's files, which hold the ids of one batch each
         batch.persist()
-        ids = batch.select("txn_id").distinct()
-        queued = read_table(spark, queue_path, EXCEPTIONS).join(ids, "txn_id", "left_semi")
-        append_table(new_exceptions(mark_new(batch, queued), as_of), queue_path)
+        low, high, nulls = batch.agg(F.min("txn_id"), F.max("txn_id"), F.count_if(F.col("txn_id").isNull())).first()
+        near = F.col("txn_id").between(low, high) if low is not None else F.lit(False)
+        if nulls:
+            near = near | F.col("txn_id").isNull()
+        queued = read_table(spark, queue_path, EXCEPTIONS).where(near)
+        fresh = new_exceptions(mark_new(batch, queued), as_of)
+        append_table(fresh.repartitionByRange("txn_id").sortWithinPartitions("txn_id"), queue_path)
         batch.unpersist()
 
     return (

@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta, timezone
 
 from conftest import AS_OF, make_warehouse
 from test_rules import TEN
@@ -71,7 +72,7 @@ def test_lifecycle(spark):
         [
             (1, 0, "ASSIGNED", "ann", None, t1),
             (1, 1, "ASSIGNED", "ann", None, t1),
-            (1, 1, "RESOLVED", "bob", "fixed", t2),  # the later update counts
+            (1, 1, "RESOLVED", "bob", "fixed", t2),  # the later owner counts
             (1, 2, "RESOLVED", None, "fixed", t2),
             (1, 2, "ASSIGNED", "ann", None, t1),
             (21, None, "ASSIGNED", "cat", None, t1),
@@ -97,11 +98,58 @@ def test_lifecycle(spark):
 
     assert state(1, 0) == ("ASSIGNED", "ann", None, None)
     assert state(1, 1) == ("RESOLVED", "bob", t2, "fixed")
-    assert state(1, 2) == ("RESOLVED", None, t2, "fixed")
+    assert state(1, 2) == ("RESOLVED", "ann", t2, "fixed")  # taken up before it was closed
     assert state(1, 3) == ("OPEN", None, None, None)
     assert state(21, None) == ("ASSIGNED", "cat", None, None)
 
 
+def test_any_split_into_batches_gives_one_result(spark):
+    hits = spark.createDataFrame([(1, i) for i in range(40)], "rule_id int, txn_id bigint")
+    queue = new_exceptions(mark_new(hits, None), AS_OF)
+    rng = random.Random(4)
+    updates = [
+        (1, i, rng.choice(["OPEN", "ASSIGNED", "RESOLVED", "ASSIGNED", "LOST"]), rng.choice([None, "ann", "bob"]),
+         rng.choice([None, "a note", "b note"]), datetime(2026, 1, 21, hour))
+        for i in range(40) for hour in rng.sample(range(24), rng.randint(0, 6))
+    ]
+    schema = (
+        "rule_id int, txn_id bigint, status string, assigned_to string, note string, updated_at timestamp"
+    )
+
+    def after(*hours):
+        worked = queue
+        for low, high in zip((0, *hours), (*hours, 24)):
+            batch = [u for u in updates if low <= u[5].hour < high]
+            rng.shuffle(batch)
+            worked = apply_updates(worked, spark.createDataFrame(batch, schema))
+        return sorted(tuple(r) for r in worked.drop("exception_id").collect())
+
+    def key(rows):
+        return [tuple(str(v) for v in r) for r in rows]
+
+    def in_turn(txn):
+        order = ["OPEN", "ASSIGNED", "RESOLVED"]
+        status, owner, closed, note = "OPEN", None, None, None
+        for _, _, to, who, text, at in sorted((u for u in updates if u[1] == txn), key=lambda u: u[5]):
+            if to in order and order.index(to) >= order.index(status):
+                closed = at if to == "RESOLVED" and status != "RESOLVED" else closed
+                status, owner, note = to, who or owner, text or note
+        return status, owner, closed, note
+
+    whole = key(after())
+    assert whole == key(after(12)) == key(after(5, 11, 19))
+    for row in whole:
+        assert row[3:] == tuple(str(v) for v in in_turn(int(row[1])))
+
+
+def test_first_run_folds_repeats_and_times_with_zones(spark):
+    hits = spark.createDataFrame([(1, 5), (1, 5), (2, None), (2, None)], "rule_id int, txn_id bigint")
+    aware = datetime(2026, 1, 20, 3, tzinfo=timezone(timedelta(hours=5)))
+    rows = new_exceptions(mark_new(hits, None), aware).collect()
+    assert sorted((r["rule_id"], r["txn_id"]) for r in rows) == [(1, 5), (2, None)]
+    assert {r["detected_at"] for r in rows} == {datetime(2026, 1, 19, 22)}
+
+
 def test_catalog_checks(spark):
     catalog = catalog_frame(spark, RULES)
     queue = spark.createDataFrame([(1, 5), (99, 5)], "rule_id int, txn_id bigint")
