@@ -25,6 +25,11 @@ def draw(row_id: str = "txn_id", seed: int = 0) -> Column:
     return F.pmod(residue * F.lit(SPREADER).cast("bigint"), F.lit(MODULUS).cast("bigint"))
 
 
+def bent(drawn: Column) -> Column:
+    """A draw squared: ids a fixed distance apart, like copies and originals, no longer go together."""
+    return F.pmod(drawn * drawn, F.lit(MODULUS).cast("bigint"))
+
+
 def bucket(row_id: str = "txn_id") -> Column:
     """Bucket 0..999 of a row, under the one draw of the test data."""
     residue = F.pmod(F.col(row_id), F.lit(MODULUS).cast("bigint"))

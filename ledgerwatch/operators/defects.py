@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.draws import MODULUS, bucket, draw
+from ledgerwatch.functions.draws import MODULUS, bent, bucket, draw
 from ledgerwatch.functions.expressions import MONEY
 
 # Defect types and their rates.
@@ -101,7 +101,7 @@ def inject_defects(
     original = f"IF({copied}, txn_id, NULL) AS _original"
     rows = drawn.selectExpr("_draw", "_bucket", original, both, *others)
     if not exclusive:
-        rows = rows.withColumn("_draw", draw("txn_id", seed)).withColumn("_bucket", bucket("txn_id"))
+        rows = rows.withColumn("_draw", bent(draw("txn_id", seed))).withColumn("_bucket", bucket("txn_id"))
     damage = {
         "step": f"IF({hit['STEP_OUT_OF_RANGE']}, -1, step)",
         "type": f"IF({hit['INVALID_TYPE']}, 'WIRE', type)",
