@@ -35,7 +35,8 @@ class Forest:
     trees: int = 14
     depth: int = 3  # values that neighbours share at least
     length: int = 12  # values that a tree sorts by
-    reach: int = 32  # nodes before a node that it is compared with
+    reach: int = 32  # nodes before a node that it is compared with at first
+    far: int = 1024  # and then, if they are of another component
     slack: float = 0.2  # four deviations of the estimate, taken off the threshold
 
     def orders(self) -> np.ndarray:
@@ -136,8 +137,11 @@ def laid_out(nodes: DataFrame, forest: Forest) -> DataFrame:
 def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best_only: bool) -> DataFrame:
     """(a, b, likeness): neighbours in an order whose signatures agree enough and whose roots differ.
 
-    With `best_only` a node brings the one most like it among those before it.
+    With `best_only` a node brings the one most like it among those just before it. Without, it
+    brings all, and is compared with nodes much further before it: nodes of its own component, which
+    make up most of a crowded region by then, are passed over.
     """
+    reach = forest.reach if best_only else forest.far
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: pa.RecordBatch | None = None
@@ -147,7 +151,7 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best
             fresh = 0 if last is None else last.num_rows
             table = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
             yield scan(table, fresh)
-            last = table.slice(max(0, table.num_rows - forest.reach))
+            last = table.slice(max(0, table.num_rows - reach))
 
     def scan(table: pa.RecordBatch, fresh: int) -> pa.RecordBatch:
         count = table.num_rows
@@ -160,7 +164,7 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best
         fresh_run[1:] = (trees[1:] != trees[:-1]) | (prefix[1:] != prefix[:-1]).any(1)
         run_of = np.cumsum(fresh_run)
         found = []
-        for back in range(1, min(forest.reach, count - 1) + 1):
+        for back in range(1, min(reach, count - 1) + 1):
             at = np.flatnonzero(run_of[back:] == run_of[:-back]) + back
             at = at[at >= fresh]
             if not len(at):
