@@ -108,15 +108,14 @@ def _urn(kind: str, *parts: str) -> str:
 
 
 def _unescaped(text: str) -> str:
-    for name, mark in warc.NAMED.items():
+    """The entities one after another, the ampersand's own last."""
+    for name, mark in sorted(warc.NAMED.items(), key=lambda e: e[0] == "amp"):
         text = "replace({}, '&{};', '{}')".format(text, name, mark.replace("'", "''"))
     return text
 
 
 def _warc_sql() -> str:
-    text = r"regexp_replace(html, '<!--.*?-->', '', 'gs')"
-    for name in warc.HIDDEN:
-        text = rf"regexp_replace({text}, '<{name}\b[^>]*>.*?</{name}[ \t\r\n]*>', '', 'gis')"
+    text = rf"regexp_replace(html, '{warc.HIDDEN}', '', 'gis')"
     text = rf"regexp_replace({text}, '[ \t\r\n\f]+', ' ', 'g')"
     text = rf"regexp_replace({text}, '</?(?:{warc.LINES})\b[^>]*>', chr(10), 'gi')"
     text = rf"regexp_replace({text}, '</?[A-Za-z!?][^>]*(?:>|$)', '', 'g')"

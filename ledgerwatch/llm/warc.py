@@ -8,21 +8,22 @@ DataFrame functions on one row, so a crawl of any size is one pass without a shu
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-NAMED = {  # entities that are decoded; the ampersand comes last
+NAMED = {  # entities that are decoded
     "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "copy": "©", "reg": "®", "trade": "™",
     "middot": "·", "bull": "•", "hellip": "…", "mdash": "—", "ndash": "–", "laquo": "«", "raquo": "»",
     "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€", "amp": "&",
 }
-HIDDEN = ("script", "style", "noscript", "template", "head")  # elements whose content is no text
-LINES = (  # tags that end a line
-    "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|html|li|main|nav"
-    "|ol|option|p|pre|section|table|td|th|title|tr|ul"
+# comments, and elements whose content is no text
+HIDDEN = "<!--.*?-->|" + "|".join(
+    rf"<{name}\b[^>]*>.*?</{name}[ \t\r\n]*>" for name in ("head", "script", "style", "noscript", "template")
+)
+LINES = (  # tags that end a line, the common ones first
+    "p|br|li|div|td|tr|h[1-6]|ul|ol|dd|dt|dl|th|table|nav|article|section|header|footer|main|aside|body|html|hr|title"
+    "|blockquote|pre|option|form|fieldset|figure|address"
 )
 
 
@@ -38,19 +39,28 @@ def urn(*parts: Column) -> Column:
 
 
 def decoded(text: Column) -> Column:
-    return reduce(lambda t, e: F.replace(t, F.lit(f"&{e[0]};"), F.lit(e[1])), NAMED.items(), text)
+    """The text with its named entities replaced, looked up where an ampersand stands; others stay."""
+    known = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def after(part: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        mark = F.when(F.contains(part, F.lit(";")), known[name])
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when(mark.isNotNull(), F.concat(mark, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    joined = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), after), ""))
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
     """The visible text: a line for each block, single spaces, no blank lines. A tag cut off at the end goes."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    for name in HIDDEN:
-        text = F.regexp_replace(text, rf"(?is)<{name}\b[^>]*>.*?</{name}[ \t\r\n]*>", "")
-    text = F.regexp_replace(text, r"[ \t\r\n\f]+", " ")
+    text = F.regexp_replace(html, f"(?is){HIDDEN}", "")
+    text = F.translate(text, "\t\r\n\f", "    ")
     text = F.regexp_replace(text, rf"(?i)</?(?:{LINES})\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*(?:>|$)", "")
     text = F.regexp_replace(decoded(text), r"[ \x{00A0}]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n+", "\n"), F.lit(" \n"))
+    return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def responses(pages: DataFrame) -> DataFrame:
