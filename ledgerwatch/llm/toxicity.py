@@ -7,7 +7,8 @@ window of words tells quotation from abuse: quote marks and words of reporting a
 address someone. A small logistic model weighs the evidence.
 
 Terms are a list of common insults and whatever words, or stems of words, the labels show to be much
-more frequent in toxic texts, near copies of a text counting as one. A stem stands for any ending.
+more frequent in toxic texts, near copies of a text counting as one. A stem stands for any ending. Of
+terms whose near misses are words that other texts have as well, no misspellings count.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ from pyspark.sql import types as T
 
 from ledgerwatch.llm.common import slices
 from ledgerwatch.llm.quality import sample_labels, sigmoid
+from ledgerwatch.session import settle
 
 TRAIN_ROWS = 20_000  # bound on the labelled rows that are learned from
 TERMS = 512  # bound on the terms learned
 LEAST_TEXTS = 5  # different toxic texts that a learned term must be in
-STEMS = (4, 5, 6)  # letters of a stem that any ending may follow
-MARKED = 20  # times as frequent in toxic texts as in others, for a learned term
+STEMS = (4, 5, 6, 7, 8)  # letters of a stem that any ending may follow
+MARKED = 50  # times as frequent in toxic texts as in others, for a learned term
 WINDOW = 8  # words on either side of a hit
 REMEMBERED = 200_000  # words whose hits a task remembers
 
@@ -49,7 +51,11 @@ REPORTING = frozenset(
 ADDRESSING = frozenset("you your youre you're yourself u ur ya tu toi te vous du dich dir ihr tú te usted eres".split())
 FEATURES = ("exact", "misspelled", "quoted", "addressed", "share", "terms")
 PRIOR = np.array([-3.5, 2.0, 1.0, -0.5, 0.5, 1.0, 0.5])  # bias first; the weights where nothing is learned
-STRENGTH = 1.0  # pull towards the prior
+STRENGTH = 0.1  # pull towards the prior
+
+
+LEET = str.maketrans("013457@$", "oieastas")  # marks that stand for letters
+NEAR = 5  # times as frequent in toxic texts, for the near misses of a term to count
 
 
 def allowed(term: str) -> int:
@@ -60,14 +66,15 @@ def allowed(term: str) -> int:
 class TermAutomaton:
     """The trie of the terms crossed with their Levenshtein automata, worked out as it is used."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], as_written: frozenset[str] = frozenset()):
+        self.edits = {t: 0 if t in as_written or t.endswith("*") else allowed(t) for t in terms}
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[str | None] = [None]
         self.most = [0]  # edits that some term below a node allows
         self.stems: list[str | None] = [None]
         for term in sorted(set(terms)):
             stem = term.endswith("*")
-            node, edits = 0, 0 if stem else allowed(term)
+            node, edits = 0, self.edits[term]
             self.most[0] = max(self.most[0], edits)
             for letter in term.rstrip("*"):
                 if letter not in self.children[node]:
@@ -136,7 +143,7 @@ class TermAutomaton:
         return sorted(
             (self.ends[node], edits)
             for node, edits in self.sets[state]
-            if self.ends[node] is not None and edits <= allowed(self.ends[node])
+            if self.ends[node] is not None and edits <= self.edits[self.ends[node]]
         )
 
 
@@ -145,17 +152,18 @@ class Lexicon:
     """Terms (a stem ends in a star), and the weights of the evidence (bias first)."""
 
     terms: list[str]
+    as_written: frozenset[str] = frozenset()  # terms of which no misspellings count
     weights: np.ndarray = field(default_factory=PRIOR.copy)
 
 
-PART = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
+PART = re.compile(r"[^\W_]+(?:['’@$][^\W_]+)*")
 
 
 class Finder:
     """Hits in words, remembered by word."""
 
-    def __init__(self, terms: list[str]):
-        self.automaton, self.known = TermAutomaton(terms), {}
+    def __init__(self, terms: list[str], as_written: frozenset[str] = frozenset()):
+        self.automaton, self.known = TermAutomaton(terms, as_written), {}
 
     def hits(self, chunk: str) -> list[tuple[str, int]]:
         """The nearest term of each word in a text without white space, whatever marks are around."""
@@ -164,6 +172,8 @@ class Finder:
             found = []
             for word in PART.findall(chunk):
                 near = self.automaton.find(word)
+                if (plain := word.translate(LEET)) != word:
+                    near = near + self.automaton.find(plain)
                 if near:
                     found.append(min(near, key=lambda hit: (hit[1], hit[0])))
             if len(self.known) >= REMEMBERED:
@@ -268,6 +278,31 @@ def chosen_terms(counted: list[tuple[str, int]]) -> list[str]:
     return sorted((stems + words)[:TERMS])
 
 
+def terms_as_written(sample: DataFrame, terms: list[str]) -> frozenset[str]:
+    """Terms whose near misses are other words: the sample has them in other texts about as often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(terms)
+        for batch in slices(batches):
+            found = [
+                (label, term)
+                for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist())
+                for term in {t for chunk in (text or "").lower().split() for t, edits in finder.hits(chunk) if edits}
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.int32()), pa.array([t for _, t in found], pa.string())], names=["label", "term"]
+            )
+
+    ones, all_ = sample.agg(F.count_if(F.expr("label = 1")), F.count(F.lit(1))).first()
+    counts = sample.select("label", "text").mapInArrow(run, "label int, term string").groupBy("term").agg(
+        F.count_if(F.expr("label = 1")).alias("t"), F.count_if(F.expr("label = 0")).alias("c")
+    )
+    # at most a row for each term
+    return frozenset(
+        r.term for r in counts.collect() if r.c >= 2 and r.t / max(ones, 1) < NEAR * r.c / max(all_ - ones, 1)
+    )
+
+
 def fit_weights(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps, drawn to the prior."""
     x = np.concatenate([np.ones((len(rows), 1)), rows], 1)
@@ -289,11 +324,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, mo
     chosen = sample_labels(labels, label, learn_from, most)
     text = F.col("text").cast("string").alias("text")
     sample = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    sample, _ = settle(sample)
     terms = sorted({*INSULTS, *learned_terms(sample)})
+    as_written = terms_as_written(sample, terms)
     kind = sample.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(terms)
+        finder = Finder(terms, as_written)
         for batch in slices(batches):
             found = finder.evidence(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -304,7 +341,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, mo
     columns = ", ".join(f"{name} double" for name in FEATURES)
     table = sample.select("doc_id", "text", "label").mapInArrow(run, f"doc_id {kind}, label int, {columns}").toArrow().sort_by("doc_id")
     rows = np.stack([table[name].to_numpy() for name in FEATURES], 1) if table.num_rows else np.zeros((0, len(FEATURES)))
-    return Lexicon(terms, fit_weights(rows, table["label"].to_numpy().astype(float)))
+    return Lexicon(terms, as_written, fit_weights(rows, table["label"].to_numpy().astype(float)))
 
 
 def score(docs: DataFrame, lexicon: Lexicon, name: str = "score") -> DataFrame:
@@ -313,7 +350,7 @@ def score(docs: DataFrame, lexicon: Lexicon, name: str = "score") -> DataFrame:
     inputs = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, weights = Finder(held.value.terms), held.value.weights
+        finder, weights = Finder(held.value.terms, held.value.as_written), held.value.weights
         for batch in slices(batches):
             values = sigmoid(weights[0] + finder.evidence(batch.column("text")) @ weights[1:])
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values, pa.float64())], names=["row", name])

@@ -105,6 +105,8 @@ def test_stems_take_any_ending():
     automaton = toxicity.TermAutomaton(["lowei*", "idiot"])
     assert automaton.find("loweichen") == [("lowei*", 0)] and automaton.find("lowe") == []
     assert automaton.find("idlot") == [("idiot", 1)]
+    strict = toxicity.TermAutomaton(["idiot"], frozenset({"idiot"}))
+    assert strict.find("idlot") == [] and strict.find("idiot") == [("idiot", 0)]
 
 
 def evidence(*texts):
@@ -114,11 +116,12 @@ def evidence(*texts):
 
 def test_context_tells_quotation_from_abuse():
     abuse, quoted, spelled, none, empty, null = evidence(
-        "You IDIOT, go away", 'He said "idiot" in court', "such an id1ot, w0rthles", "nothing here", "", None
+        "You IDIOT, go away", 'He said "idiot" in court', "such an idlot, worthles", "nothing here", "", None
     )
     assert abuse["exact"] > 0 and abuse["addressed"] > 0 and abuse["quoted"] == 0
     assert quoted["quoted"] > 0 and quoted["exact"] == 0
     assert spelled["misspelled"] > 0.9 and spelled["exact"] == 0
+    assert evidence("an 1d10t")[0]["exact"] > 0
     assert not any(none.values()) and not any(empty.values()) and not any(null.values())
 
 
@@ -133,6 +136,15 @@ def test_learned_terms_need_different_texts(spark):
     assert any(t.startswith("grob") and t.endswith("*") for t in terms)
 
 
+def test_near_misses_that_are_other_words_do_not_count(spark):
+    rows = [(0, f"the other one {k}") for k in range(30)] + [(1, f"you moron, such a looser {k}") for k in range(20)]
+    sample = spark.createDataFrame(rows, "label int, text string")
+    assert toxicity.terms_as_written(sample, ["loser", "moron"]) == frozenset()
+    rows += [(0, f"the loger and the moser {k}") for k in range(30)] + [(0, "a maron tree")] * 3
+    sample = spark.createDataFrame(rows, "label int, text string")
+    assert toxicity.terms_as_written(sample, ["loser", "moron"]) == {"loser", "moron"}
+
+
 def test_toxicity_scores(spark, sf_dir, texts):
     docs = odd_documents(spark, [*texts, "You stupid pathetic moron, worthless scum", "you stupld m0ron"])
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
