@@ -14,7 +14,7 @@ import time
 from dataclasses import replace
 
 from ledgerwatch.operators import anomaly
-from ledgerwatch.operators.catalog import standard_rules
+from ledgerwatch.operators.catalog import add_rule, standard_rules
 from ledgerwatch.operators.queue import mark_new
 from ledgerwatch.operators.rules import failing
 from ledgerwatch.operators.warehouse import Warehouse
@@ -58,6 +58,11 @@ def main() -> None:
         for rule in row_rules:
             drain(failing(wh, [rule], tb.AS_OF))
 
+    hundred = rules
+    for k in range(81):
+        hundred = add_rule(hundred, f"USER_{k}", "Validity", "LOW", "x", predicate=f"amount > {k * 9000} AND step % 90 = {k}")
+    hundred = [r for r in hundred if r.kind == "row"]
+
     def of_kind(kind: str):
         chosen = [r for r in rules if r.kind == kind]
         return lambda: drain(failing(wh, chosen, tb.AS_OF))
@@ -75,6 +80,7 @@ def main() -> None:
         ),
         "row_rules_fused": of_kind("row"),
         "row_rules_separate": separately,
+        "hundred_rules": lambda: drain(failing(wh, hundred, tb.AS_OF)),
         "account_rules": of_kind("account"),
         "copies_rule": of_kind("copies"),
         "reference_rule": of_kind("reference"),
