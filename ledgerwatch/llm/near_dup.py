@@ -31,13 +31,14 @@ from ledgerwatch.session import settle
 class Forest:
     """Sizes of the forest. With 14 trees of depth 3 a pair at 0.8 is missed by all with chance 10^-4."""
 
-    values: int = 64  # of a signature
+    values: int = 128  # of a signature
     trees: int = 14
     depth: int = 3  # values that neighbours share at least
     length: int = 12  # values that a tree sorts by
     reach: int = 32  # nodes before a node that it is compared with at first
     far: int = 1024  # and then, if they are of another component
-    slack: float = 0.2  # four deviations of the estimate, taken off the threshold
+    best: int = 6  # of those, the ones most like it on either side that are confirmed, in each tree
+    slack: float = 0.14  # four deviations of the estimate, taken off the threshold
 
     def orders(self) -> np.ndarray:
         """Which values each tree sorts by; the first ones are its own."""
@@ -134,12 +135,23 @@ def laid_out(nodes: DataFrame, forest: Forest) -> DataFrame:
     return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def among_best(group: np.ndarray, value: np.ndarray, k: int) -> np.ndarray:
+    """Whether each value is one of the k largest of its group."""
+    order = np.lexsort((-value, group))
+    starts = np.concatenate([[True], group[order][1:] != group[order][:-1]])[: len(order)]
+    first = np.maximum.accumulate(np.where(starts, np.arange(len(order)), 0))
+    out = np.zeros(len(order), bool)
+    out[order] = np.arange(len(order)) - first < k
+    return out
+
+
 def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best_only: bool) -> DataFrame:
     """(a, b, likeness): neighbours in an order whose signatures agree enough and whose roots differ.
 
     With `best_only` a node brings the one most like it among those just before it. Without, it
-    brings all, and is compared with nodes much further before it: nodes of its own component, which
-    make up most of a crowded region by then, are passed over.
+    is compared with nodes much further before it, where nodes of its own component, which make up
+    most of a crowded region by then, are passed over, and brings the `best` most like it. A node just
+    short of the threshold to a thousand others would else bring them all, again in every tree.
     """
     reach = forest.reach if best_only else forest.far
 
@@ -178,10 +190,11 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best
             good = alike >= threshold - forest.slack
             found.append((at[good], at[good] - back, alike[good]))
         at, other, alike = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
-        if best_only and len(at):
-            order = np.lexsort((-alike, at))
-            order = order[np.unique(at[order], return_index=True)[1]]
-            at, other, alike = at[order], other[order], alike[order]
+        if best_only:
+            keep = among_best(at, alike, 1)
+        else:
+            keep = among_best(at, alike, forest.best) | among_best(other, alike, forest.best)
+        at, other, alike = at[keep], other[keep], alike[keep]
         nodes = table.column("node")
         a, b = nodes.take(pa.array(at)).to_pylist(), nodes.take(pa.array(other)).to_pylist()
         return pa.RecordBatch.from_arrays(
