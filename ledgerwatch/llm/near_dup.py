@@ -37,7 +37,7 @@ class Forest:
     length: int = 12  # values that a tree sorts by
     reach: int = 32  # nodes before a node that it is compared with at first
     far: int = 1024  # and then, if they are of another component
-    best: int = 6  # of those, the ones most like it on either side that are confirmed, in each tree
+    best: int = 24  # of those, the ones most like it that are confirmed, in each tree
     slack: float = 0.14  # four deviations of the estimate, taken off the threshold
 
     def orders(self) -> np.ndarray:
@@ -116,7 +116,10 @@ def profiles(docs: DataFrame, width: int, forest: Forest) -> DataFrame:
 
 
 def laid_out(nodes: DataFrame, forest: Forest) -> DataFrame:
-    """Nodes (node, n, sig, root) once for each tree, with the key that the tree sorts by."""
+    """Nodes (node, n, sig, root, many) once for each tree, with the key that the tree sorts by.
+
+    many is the number of nodes in the node's component, root.
+    """
     orders = forest.orders()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,9 +132,9 @@ def laid_out(nodes: DataFrame, forest: Forest) -> DataFrame:
                     names=["tree", "key", *batch.schema.names],
                 )
 
-    kept = nodes.select("node", "n", "sig", "root")
+    kept = nodes.select("node", "n", "sig", "root", "many")
     keys = ["tree", "key", "node"]
-    rows = kept.mapInArrow(run, "tree int, key binary, node binary, n long, sig binary, root binary")
+    rows = kept.mapInArrow(run, "tree int, key binary, node binary, n long, sig binary, root binary, many long")
     return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -150,8 +153,9 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best
 
     With `best_only` a node brings the one most like it among those just before it. Without, it
     is compared with nodes much further before it, where nodes of its own component, which make up
-    most of a crowded region by then, are passed over, and brings the `best` most like it. A node just
-    short of the threshold to a thousand others would else bring them all, again in every tree.
+    most of a crowded region by then, are passed over. Of each pair the node of the smaller component
+    brings the other, if that is one of the `best` most like it: a node just short of the threshold to
+    a thousand nodes of one component would else bring them all, and they it.
     """
     reach = forest.reach if best_only else forest.far
 
@@ -193,7 +197,8 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best
         if best_only:
             keep = among_best(at, alike, 1)
         else:
-            keep = among_best(at, alike, forest.best) | among_best(other, alike, forest.best)
+            many = table.column("many").to_numpy()
+            keep = among_best(np.where(many[at] <= many[other], at, other), alike, forest.best)
         at, other, alike = at[keep], other[keep], alike[keep]
         nodes = table.column("node")
         a, b = nodes.take(pa.array(at)).to_pylist(), nodes.take(pa.array(other)).to_pylist()
@@ -264,7 +269,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest =
     )
     reps, _ = settle(reps)
     likely, seen = settle(
-        likely_pairs(laid_out(reps.withColumn("root", F.col("node")), forest), threshold, forest, True)
+        likely_pairs(laid_out(reps.withColumn("root", F.col("node")).withColumn("many", F.lit(1).cast("long")), forest), threshold, forest, True)
     )
     named = reps.select("node", F.col("doc_id").alias("component_id"))
     if seen["rows"]:
@@ -278,7 +283,10 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest =
         links, _ = settle(confirmed(first, sets, percent))
         roots = components(links)
         # all other likely pairs between components
-        rooted = active.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("many"))
+        rooted = active.join(roots.join(sizes, "root"), "node", "left").withColumns(
+            {"root": F.coalesce("root", "node"), "many": F.coalesce("many", F.lit(1).cast("long"))}
+        )
         others = likely_pairs(laid_out(rooted, forest), threshold, forest, False).select("a", "b").distinct()
         others = others.join(first, ["a", "b"], "left_anti")
         more, found = settle(confirmed(others, sets, percent))
