@@ -116,11 +116,10 @@ def _unescaped(text: str) -> str:
 
 def _warc_sql() -> str:
     text = rf"regexp_replace(html, '{warc.HIDDEN}', '', 'gis')"
-    text = rf"regexp_replace({text}, '[ \t\r\n\f]+', ' ', 'g')"
-    text = rf"regexp_replace({text}, '</?(?:{warc.LINES})\b[^>]*>', chr(10), 'gi')"
+    text = rf"regexp_replace({text}, '</?(?:{warc.LINES})\b[^>]*>', chr(1), 'gi')"
     text = rf"regexp_replace({text}, '</?[A-Za-z!?][^>]*(?:>|$)', '', 'g')"
-    text = rf"regexp_replace({_unescaped(text)}, '[ \x{{00A0}}]+', ' ', 'g')"
-    text = rf"regexp_replace(regexp_replace({text}, ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g')"
+    text = rf"regexp_replace({_unescaped(text)}, '[ \t\r\n\f\x{{00A0}}]+', ' ', 'g')"
+    text = rf"regexp_replace({text}, ' ?\x01[ \x01]*', chr(10), 'g')"
     title = r"nullif(regexp_extract(html, '<title\b[^>]*>(.*?)</title', 1, 'is'), '')"
     title = rf"trim(regexp_replace({_unescaped(title)}, '[ \t\r\n\f]+', ' ', 'g'))"
     return rf"""

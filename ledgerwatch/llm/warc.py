@@ -48,19 +48,20 @@ def decoded(text: Column) -> Column:
         rest = F.substr(part, F.length(name) + 2)
         return F.when(mark.isNotNull(), F.concat(mark, rest)).otherwise(F.concat(F.lit("&"), part))
 
-    parts = F.split(text, "&")
-    joined = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), after), ""))
-    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
+    def joined(parts: Column) -> Column:
+        return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), after), ""))
+
+    # through an array, so that the text is worked out once
+    return F.transform(F.array(F.split(text, "&")), joined)[0]
 
 
 def plain_text(html: Column) -> Column:
     """The visible text: a line for each block, single spaces, no blank lines. A tag cut off at the end goes."""
     text = F.regexp_replace(html, f"(?is){HIDDEN}", "")
-    text = F.translate(text, "\t\r\n\f", "    ")
-    text = F.regexp_replace(text, rf"(?i)</?(?:{LINES})\b[^>]*>", "\n")
+    text = F.regexp_replace(text, rf"(?i)</?(?:{LINES})\b[^>]*>", "\x01")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*(?:>|$)", "")
-    text = F.regexp_replace(decoded(text), r"[ \x{00A0}]+", " ")
-    return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+    text = F.regexp_replace(decoded(text), r"[ \t\r\n\f\x{00A0}]+", " ")
+    return F.trim(F.regexp_replace(text, r" ?\x01[ \x01]*", "\n"), F.lit(" \n"))
 
 
 def responses(pages: DataFrame) -> DataFrame:
