@@ -7,8 +7,9 @@ signature, with the nodes just before it that share its first values. Where few
 all of them; where many do, it is those with the longest common prefixes, so the depth follows how
 crowded a region is. Likely pairs are confirmed on their full sets.
 
-To confirm little, the best pair of each node comes first. Their links give first components, and a
-second scan over the same orders takes every other likely pair that joins two components.
+To confirm little, the best pair of each node comes first. Their links give first components. Then all
+nodes that share the first values of a tree are compared across components, however many they are: first
+the likeliest partners are confirmed and components contracted, at last every likely pair that is left.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ class Forest:
     depth: int = 3  # values that neighbours share at least
     length: int = 12  # values that a tree sorts by
     reach: int = 32  # nodes before a node that it is compared with at first
-    far: int = 1024  # and then, if they are of another component
-    best: int = 24  # of those, the ones most like it that are confirmed, in each tree
+    block: int = 4096  # nodes of a crowded run that are compared with as many others in one piece
+    best: int = 24  # partners of a node that are confirmed, in each tree, before all others
     slack: float = 0.14  # four deviations of the estimate, taken off the threshold
 
     def orders(self) -> np.ndarray:
@@ -116,10 +117,7 @@ def profiles(docs: DataFrame, width: int, forest: Forest) -> DataFrame:
 
 
 def laid_out(nodes: DataFrame, forest: Forest) -> DataFrame:
-    """Nodes (node, n, sig, root, many) once for each tree, with the key that the tree sorts by.
-
-    many is the number of nodes in the node's component, root.
-    """
+    """Nodes (node, n, sig, root) once for each tree, with the key that the tree sorts by."""
     orders = forest.orders()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +130,9 @@ def laid_out(nodes: DataFrame, forest: Forest) -> DataFrame:
                     names=["tree", "key", *batch.schema.names],
                 )
 
-    kept = nodes.select("node", "n", "sig", "root", "many")
+    kept = nodes.select("node", "n", "sig", "root")
     keys = ["tree", "key", "node"]
-    rows = kept.mapInArrow(run, "tree int, key binary, node binary, n long, sig binary, root binary, many long")
+    rows = kept.mapInArrow(run, "tree int, key binary, node binary, n long, sig binary, root binary")
     return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -148,16 +146,9 @@ def among_best(group: np.ndarray, value: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best_only: bool) -> DataFrame:
-    """(a, b, likeness): neighbours in an order whose signatures agree enough and whose roots differ.
-
-    With `best_only` a node brings the one most like it among those just before it. Without, it
-    is compared with nodes much further before it, where nodes of its own component, which make up
-    most of a crowded region by then, are passed over. Of each pair the node of the smaller component
-    brings the other, if that is one of the `best` most like it: a node just short of the threshold to
-    a thousand nodes of one component would else bring them all, and they it.
-    """
-    reach = forest.reach if best_only else forest.far
+def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest) -> DataFrame:
+    """(a, b, likeness): of the nodes just before each node in an order, the one whose signature agrees most."""
+    reach = forest.reach
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: pa.RecordBatch | None = None
@@ -166,48 +157,106 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest, best
                 continue
             fresh = 0 if last is None else last.num_rows
             table = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            yield scan(table, fresh)
+            keys = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+            trees, prefix = table.column("tree").to_numpy(), keys[:, : forest.depth]
+            begins = np.ones(table.num_rows, bool)
+            begins[1:] = (trees[1:] != trees[:-1]) | (prefix[1:] != prefix[:-1]).any(1)
+            at, other, alike = compared(table, begins, fresh, reach, threshold - forest.slack, threshold)
+            yield named_pairs(table, at, other, alike, among_best(at, alike, 1))
             last = table.slice(max(0, table.num_rows - reach))
 
-    def scan(table: pa.RecordBatch, fresh: int) -> pa.RecordBatch:
-        count = table.num_rows
-        trees, sizes = table.column("tree").to_numpy(), table.column("n").to_numpy()
-        keys = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(count, -1)
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(count, -1)
-        roots = np.asarray(pc.dictionary_encode(table.column("root")).indices)
-        prefix = keys[:, : forest.depth]
-        fresh_run = np.ones(count, bool)
-        fresh_run[1:] = (trees[1:] != trees[:-1]) | (prefix[1:] != prefix[:-1]).any(1)
-        run_of = np.cumsum(fresh_run)
-        found = []
-        for back in range(1, min(reach, count - 1) + 1):
-            at = np.flatnonzero(run_of[back:] == run_of[:-back]) + back
-            at = at[at >= fresh]
-            if not len(at):
-                if not (run_of[back:] == run_of[:-back]).any():
-                    break
+    return sorted_nodes.mapInArrow(run, "a binary, b binary, likeness float")
+
+
+def compared(
+    table: pa.RecordBatch, begins: np.ndarray, fresh: int, reach: int, least: float, threshold: float, blocks: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at, other, alike): rows from `fresh` on with rows up to `reach` before them in their run, of other roots.
+
+    Runs start where `begins` is true. Given blocks, only rows of different ones are compared, or those of
+    negative ones with all.
+    """
+    count, sizes = table.num_rows, table.column("n").to_numpy()
+    sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(count, -1)
+    roots = np.asarray(pc.dictionary_encode(table.column("root")).indices)
+    first = np.maximum.accumulate(np.where(begins, np.arange(count), 0))
+    rows, found = np.arange(fresh, count), []
+    for back in range(1, min(reach, count - 1) + 1):
+        rows = rows[rows - first[rows] >= back]
+        if not len(rows):
+            break
+        other = rows - back
+        differ = roots[rows] != roots[other]
+        if blocks is not None:
+            differ &= (blocks[rows] < 0) | (blocks[rows] != blocks[other])
+        at, other = rows[differ], other[differ]
+        at = at[np.minimum(sizes[at], sizes[other]) >= threshold * np.maximum(sizes[at], sizes[other])]
+        alike = (sigs[at] == sigs[at - back]).mean(1)
+        good = alike >= least
+        found.append((at[good], at[good] - back, alike[good]))
+    at, other, alike = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
+    return at, other, alike
+
+
+def named_pairs(table: pa.RecordBatch, at: np.ndarray, other: np.ndarray, alike: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
+    nodes = table.column("node")
+    a, b = nodes.take(pa.array(at[keep])).to_pylist(), nodes.take(pa.array(other[keep])).to_pylist()
+    return pa.RecordBatch.from_arrays(
+        [pa.array([min(x) for x in zip(a, b)], pa.binary()), pa.array([max(x) for x in zip(a, b)], pa.binary()),
+         pa.array(alike[keep].astype(np.float32))], names=["a", "b", "likeness"],
+    )
+
+
+def crossing_pairs(rooted: DataFrame, threshold: float, forest: Forest, best: int | None) -> DataFrame:
+    """(a, b): likely pairs of nodes with other roots that share the first values of a tree.
+
+    Runs of nodes with one root have none and go before signatures are moved. A run of more than
+    `forest.block` nodes is cut into blocks, and each two of them are a piece of their own, so no pair
+    is out of reach and no task holds a whole run. With `best` the node of the smaller component
+    brings so many partners in each piece, those most like it: a node just short of the threshold to a
+    thousand nodes of one component else brings them all.
+    """
+    orders = forest.orders()[:, : forest.depth]
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int64)
+            for t, order in enumerate(orders):
+                run = np.full(batch.num_rows, t, np.int64)
+                for value in order:
+                    run = run * 256 + sig[:, value]
+                yield pa.RecordBatch.from_arrays([pa.array(run), batch.column("node"), batch.column("root")], names=["run", "node", "root"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            other = at - back
-            small, large = np.minimum(sizes[at], sizes[other]), np.maximum(sizes[at], sizes[other])
-            at = at[(roots[at] != roots[other]) & (small >= threshold * large)]
-            alike = (sigs[at] == sigs[at - back]).mean(1)
-            good = alike >= threshold - forest.slack
-            found.append((at[good], at[good] - back, alike[good]))
-        at, other, alike = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
-        if best_only:
-            keep = among_best(at, alike, 1)
-        else:
+            fresh = 0 if last is None else last.num_rows
+            table = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            run, i, j = (table.column(c).to_numpy() for c in ("run", "i", "j"))
+            begins = np.ones(table.num_rows, bool)
+            begins[1:] = (run[1:] != run[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            blocks = np.where(i == j, -1, table.column("block").to_numpy())
+            at, other, alike = compared(table, begins, fresh, table.num_rows, threshold - forest.slack, threshold, blocks)
             many = table.column("many").to_numpy()
-            keep = among_best(np.where(many[at] <= many[other], at, other), alike, forest.best)
-        at, other, alike = at[keep], other[keep], alike[keep]
-        nodes = table.column("node")
-        a, b = nodes.take(pa.array(at)).to_pylist(), nodes.take(pa.array(other)).to_pylist()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([min(x) for x in zip(a, b)], pa.binary()), pa.array([max(x) for x in zip(a, b)], pa.binary()),
-             pa.array(alike.astype(np.float32))], names=["a", "b", "likeness"],
-        )
-
-    return sorted_nodes.mapInArrow(run, "a binary, b binary, likeness float")
+            keep = np.ones(len(at), bool) if best is None else among_best(np.where(many[at] <= many[other], at, other), alike, best)
+            yield named_pairs(table, at, other, alike, keep)
+            last = table.slice(int(np.flatnonzero(begins)[-1]))
+
+    where, _ = settle(rooted.select("node", "sig", "root").mapInArrow(places, "run long, node binary, root binary"))
+    mixed_runs = where.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    pieces = where.join(mixed_runs.select("run", F.ceil(F.col("size") / forest.block).cast("int").alias("blocks")), "run").withColumn(
+        "block", F.expr("pmod(xxhash64(node), blocks)").cast("int")
+    )
+    pieces = pieces.groupBy("node").agg(F.collect_list(F.struct("run", "blocks", "block")).alias("at"))
+    # at most one place in each tree
+    rows = rooted.join(pieces, "node").withColumn("at", F.explode("at")).select("node", "n", "sig", "root", "many", "at.run", "at.blocks", "at.block")
+    rows = rows.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "run", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "n", "sig", "root", "many"
+    )
+    rows = rows.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j")
+    return rows.mapInArrow(scan, "a binary, b binary, likeness float").select("a", "b").distinct()
 
 
 # --- confirming ---------------------------------------------------------------------
@@ -268,35 +317,40 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest =
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig")
     )
     reps, _ = settle(reps)
-    likely, seen = settle(
-        likely_pairs(laid_out(reps.withColumn("root", F.col("node")).withColumn("many", F.lit(1).cast("long")), forest), threshold, forest, True)
+    likely, _ = settle(likely_pairs(laid_out(reps.withColumn("root", F.col("node")), forest), threshold, forest))
+    ends = likely.select(F.col("a").alias("node"), F.col("b").alias("other"), "likeness").unionByName(
+        likely.select(F.col("b").alias("node"), F.col("a").alias("other"), "likeness")
     )
+    best, _ = settle(ends.groupBy("node").agg(F.max(F.struct("likeness", "other")).alias("m")))
+    pairs = best.select(F.least("node", "m.other").alias("a"), F.greatest("node", "m.other").alias("b")).distinct()
     named = reps.select("node", F.col("doc_id").alias("component_id"))
-    if seen["rows"]:
-        ends = likely.select(F.col("a").alias("node"), F.col("b").alias("other"), "likeness").unionByName(
-            likely.select(F.col("b").alias("node"), F.col("a").alias("other"), "likeness")
-        )
-        best, _ = settle(ends.groupBy("node").agg(F.max(F.struct("likeness", "other")).alias("m")))
-        first = best.select(F.least("node", "m.other").alias("a"), F.greatest("node", "m.other").alias("b")).distinct()
-        active = reps.join(best.select("node"), "node")
-        sets, _ = settle(full_sets(docs, active.where("doc_id IS NOT NULL"), width))
-        links, _ = settle(confirmed(first, sets, percent))
-        roots = components(links)
-        # all other likely pairs between components
-        sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("many"))
-        rooted = active.join(roots.join(sizes, "root"), "node", "left").withColumns(
-            {"root": F.coalesce("root", "node"), "many": F.coalesce("many", F.lit(1).cast("long"))}
-        )
-        others = likely_pairs(laid_out(rooted, forest), threshold, forest, False).select("a", "b").distinct()
-        others = others.join(first, ["a", "b"], "left_anti")
-        more, found = settle(confirmed(others, sets, percent))
-        if found["rows"]:
-            links = links.unionByName(more)
+    nodes = reps.where("doc_id IS NOT NULL")
+    tried = sets = links = roots = None
+    # the likeliest pairs, the likeliest ones between components, and all others between components
+    for most in (1, forest.best, None):
+        if roots is not None:
+            sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("many"))
+            rooted = nodes.join(roots.join(sizes, "root"), "node", "left").withColumns(
+                {"root": F.coalesce("root", "node"), "many": F.coalesce("many", F.lit(1).cast("long"))}
+            )
+            pairs = crossing_pairs(rooted, threshold, forest, most).join(tried, ["a", "b"], "left_anti")
+        pairs, _ = settle(pairs)
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets, "node", "left_anti")
+        wanted, missing = settle(nodes.join(wanted, "node"))
+        if missing["rows"] or sets is None:
+            own, _ = settle(full_sets(docs, wanted, width))
+            sets = own if sets is None else sets.unionByName(own)
+        more, found = settle(confirmed(pairs, sets, percent))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if links is None or found["rows"]:
+            links = more if links is None else links.unionByName(more)
             roots = components(links)
-        classes = named.join(roots, "node")
-        least = classes.groupBy("root").agg(F.min("component_id").alias("least"))
-        linked = classes.join(least, "root").select("node", "least")
-        named = named.join(linked, "node", "left").select("node", F.coalesce("least", "component_id").alias("component_id"))
+    classes = named.join(roots, "node")
+    least = classes.groupBy("root").agg(F.min("component_id").alias("least"))
+    linked = classes.join(least, "root").select("node", "least")
+    named = named.join(linked, "node", "left").select("node", F.coalesce("least", "component_id").alias("component_id"))
     result = rows.select("doc_id", "node", "n").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(

@@ -59,6 +59,42 @@ def test_a_large_group_of_near_copies(spark):
     assert len({c for _, c in got.values()}) > 200
 
 
+def signed(spark, rng, likeness):
+    """Nodes (node, n, sig, root, many): node 0 agrees with all 60 others of one component in this share of values."""
+    own = [rng.randrange(256) for _ in range(128)]
+    rows = [(bytes([0]), 100, bytes(own), bytes([0]), 1)]
+    for k in range(1, 61):
+        sig = [v if j < 3 or rng.random() < likeness else (v + 1) % 256 for j, v in enumerate(own)]
+        rows.append((bytes([k]), 100, bytes(sig), bytes([255]), 60))
+    return spark.createDataFrame(rows, "node binary, n long, sig binary, root binary, many long")
+
+
+def test_every_likely_pair_between_components_is_brought(spark):
+    rooted = signed(spark, random.Random(3), 0.85)
+    for block in (4096, 16):  # crowded runs are cut into blocks
+        forest = near_dup.Forest(block=block)
+        got = {(r.a[0], r.b[0]) for r in near_dup.crossing_pairs(rooted, 0.8, forest, None).collect()}
+        assert got == {(0, k) for k in range(1, 61)}
+    few = near_dup.Forest(trees=1)
+    assert near_dup.crossing_pairs(rooted, 0.8, few, 24).count() == 24
+
+
+def test_a_pair_far_apart_in_a_crowded_run_is_found(spark):
+    rng = random.Random(8)
+    own = [rng.randrange(256) for _ in range(128)]
+    rows = []
+    for k in range(3000):  # one run in the first tree; the first and the last of it are alike
+        sig = own[:3] + [rng.randrange(1, 255) for _ in range(125)]
+        if k in (0, 2999):
+            sig = own[:3] + own[3:]
+            sig[72] = k // 12  # the tree sorts by further values, too: at both ends of the run
+        rows.append((k.to_bytes(2, "big"), 100, bytes(sig), k.to_bytes(2, "big"), 1))
+    rooted = spark.createDataFrame(rows, "node binary, n long, sig binary, root binary, many long")
+    for block in (4096, 500):
+        got = near_dup.crossing_pairs(rooted, 0.8, near_dup.Forest(trees=1, block=block), None).collect()
+        assert [(int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big")) for r in got] == [(0, 2999)]
+
+
 def test_odd_rows(spark, texts):
     docs = odd_documents(spark, texts[:60])
     rows = near_dup.groups(docs, 2, 80).collect()
