@@ -2,7 +2,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from conftest import AS_OF, make_warehouse
+from builders import AS_OF, make_warehouse
 from test_rules import TEN
 
 from ledgerwatch.functions.lookups import Limits

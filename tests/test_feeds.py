@@ -1,7 +1,7 @@
 import warnings
 
 import pytest
-from conftest import AS_OF
+from builders import AS_OF
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators import anomaly

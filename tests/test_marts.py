@@ -1,6 +1,6 @@
 from datetime import date, datetime, timedelta
 
-from conftest import AS_OF
+from builders import AS_OF
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.catalog import catalog_frame, standard_rules

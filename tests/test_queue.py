@@ -1,7 +1,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
-from conftest import AS_OF, make_warehouse
+from builders import AS_OF, make_warehouse
 from test_rules import TEN
 
 from ledgerwatch.operators.catalog import catalog_frame, standard_rules

@@ -4,7 +4,7 @@ import random
 from datetime import date
 
 import pytest
-from conftest import AS_OF, make_warehouse
+from builders import AS_OF, make_warehouse
 
 from ledgerwatch.functions.lookups import Limits
 from ledgerwatch.operators.catalog import add_rule, set_active, standard_rules

@@ -1,6 +1,6 @@
 """A third of the rows on one key: same results, and no task that holds them all."""
 
-from conftest import AS_OF
+from builders import AS_OF
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.lookups import Limits, join_back, make_lookup

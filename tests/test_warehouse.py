@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import MASTER, staged_frame
+from builders import MASTER, staged_frame
 
 from ledgerwatch.operators import warehouse as dw
 from ledgerwatch.plans import testbed as tb
