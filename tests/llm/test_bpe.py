@@ -4,7 +4,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from conftest import no_documents, odd_documents
+from odd_rows import no_documents, odd_documents
 from tokenizers import Tokenizer
 
 from ledgerwatch.llm import bpe

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
-from conftest import no_documents, odd_documents
+from odd_rows import no_documents, odd_documents
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import quality, toxicity

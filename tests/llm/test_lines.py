@@ -1,4 +1,4 @@
-from conftest import no_documents, odd_documents
+from odd_rows import no_documents, odd_documents
 
 from ledgerwatch.llm import lines
 

@@ -1,6 +1,6 @@
 import random
 
-from conftest import no_documents, odd_documents
+from odd_rows import no_documents, odd_documents
 
 from ledgerwatch.llm import near_dup
 from ledgerwatch.llm.components import components

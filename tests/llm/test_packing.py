@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import no_documents, odd_documents
+from odd_rows import no_documents, odd_documents
 from tokenizers import Tokenizer
 
 from ledgerwatch.llm import packing
