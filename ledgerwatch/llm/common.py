@@ -57,12 +57,12 @@ def gathered(pieces: list[bytes], chosen: np.ndarray, bounds: np.ndarray, width:
     )
 
 
-def words_of(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Offsets and words of each text: A-Z lower-cased, cut at space and x09-x0D; null has none.
+def cut_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets and words of each text, cut at space and x09-x0D; null has none.
 
     The words of row i are words[offsets[i]:offsets[i + 1]].
     """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "").cast(pa.large_string())))
+    lists = pc.ascii_split_whitespace(pc.fill_null(text, "").cast(pa.large_string()))
     flat, bounds = lists.flatten(), np.asarray(lists.offsets)
     bounds = bounds - bounds[0]
     full = pc.greater(pc.binary_length(flat), 0)
@@ -72,6 +72,11 @@ def words_of(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return bounds.astype(np.int64), flat
 
 
+def words_of(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """As `cut_words`, with A-Z lower-cased."""
+    return cut_words(pc.ascii_lower(text))
+
+
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import bpe, curves, lines, near_dup, packing, passages, quality, toxicity, vafile, warc
+from ledgerwatch.llm import bpe, curves, lines, near_dup, packing, passages, quality, runs, toxicity, vafile, warc
 from ledgerwatch.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +92,40 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def told_again(rows: pa.StructArray, bounds: np.ndarray) -> np.ndarray:
+    """In texts whose id has a checksum divisible by ten, words that stand for all from some place on.
+
+    A row without an id stays as it is.
+    """
+    place = np.arange(bounds[-1])
+    for r, doc_id in enumerate(rows.field("doc_id").to_pylist()):
+        n = int(bounds[r + 1] - bounds[r])
+        if doc_id is None or not n:
+            continue
+        tens, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+        if rest == 0:
+            first = tens % n
+            period = 1 + (n - first) // (3 + tens % 8)
+            place[bounds[r] + first : bounds[r + 1]] = bounds[r] + first + np.arange(n - first) % period
+    return place
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(documents(spark, sf_dir).select("doc_id", "text"), told_again)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    top = F.array_max(ranked)["run"]
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[top[name].alias(name) for name in ("start", "length", "period")],
+        F.floor(1000 * top["length"] / top["period"]).alias("exponent_milli"),
+        F.sha2(F.encode(lines, "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_neighbours": op2_neighbours,
@@ -99,8 +137,10 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op9_passages": op9_passages,
     "op10_bpe": op10_bpe,
+    "op12_runs": op12_runs,
 }
 
+
 def _urn(kind: str, *parts: str) -> str:
     joined = " || '|' || ".join([f"'{kind}'", *[f"coalesce(CAST({p} AS VARCHAR), '~')" for p in parts]])
     pieces = " || '-' || ".join(f"substr(md5({joined}), {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
@@ -203,6 +243,52 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(len(d.l), 0) - coalesce(kept.n, 0) AS INTEGER) AS n_removed
         FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
     """,
+    "op12_runs": """
+        WITH crc AS (
+            SELECT doc_id, text, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                range(1, 8 * length(CAST(doc_id AS VARCHAR)) + 1),
+                lambda i: CASE WHEN i % 8 = 1 THEN CAST(ascii(substr(CAST(doc_id AS VARCHAR), (i + 7) // 8, 1)) AS BIGINT) ELSE 0 END
+            )), lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))) AS c
+            FROM documents
+        ), w AS (
+            SELECT doc_id, xor(c, CAST(4294967295 AS BIGINT)) AS h, list_filter(regexp_split_to_array(
+                coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM crc
+        ), a AS (
+            SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a,
+                   3 + (h // 10) % 8 AS parts
+            FROM w
+        ), t AS (
+            SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(0, n), lambda i:
+                CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // parts) + 1] END) END AS w
+            FROM a
+        ), six AS (
+            SELECT doc_id, i, array_to_string(w[i + 1 : i + 6], ' ') AS words
+            FROM (SELECT doc_id, w, unnest(range(0, n - 5)) AS i FROM t)
+        ), met AS (
+            SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM six x JOIN six y ON x.doc_id = y.doc_id AND x.words = y.words AND x.i < y.i
+        ), island AS (
+            SELECT doc_id, q, min(i) AS s, max(i) - min(i) + 6 + q AS l
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM met) GROUP BY doc_id, q, g
+        ), run AS (
+            SELECT doc_id, s, l, min(q) AS p FROM island WHERE l >= greatest(12, 2 * q) GROUP BY doc_id, s, l
+        ), best AS (
+            SELECT doc_id, count(*) AS n_runs, max({'l': l, 's': -s, 'p': -p}) AS top,
+                   string_agg(s || ',' || l || ',' || p || chr(10), '' ORDER BY s, p) AS listed
+            FROM run GROUP BY doc_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s + p, s + l)) AS i FROM run
+        ), word AS (
+            SELECT doc_id, w, unnest(range(0, n)) AS i FROM t
+        ), kept AS (
+            SELECT word.doc_id, string_agg(w[word.i + 1], ' ' ORDER BY word.i) AS text
+            FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i GROUP BY word.doc_id
+        )
+        SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(-top.s AS BIGINT) AS start, CAST(top.l AS BIGINT) AS length,
+               CAST(-top.p AS BIGINT) AS period, CAST(1000 * top.l // -top.p AS BIGINT) AS exponent_milli,
+               sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM t LEFT JOIN best ON t.doc_id = best.doc_id LEFT JOIN kept ON t.doc_id = kept.doc_id
+    """,
     "op8_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
