@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import bpe, curves, lines, near_dup, packing, passages, quality, runs, toxicity, vafile, warc
+from ledgerwatch.llm import bpe, curves, lexical, lines, near_dup, packing, passages, quality, runs, toxicity, vafile, warc
 from ledgerwatch.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -126,6 +126,11 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical.rank(documents(spark, sf_dir).select("doc_id", "text"), items)
+
+
 QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_neighbours": op2_neighbours,
@@ -138,6 +143,7 @@ QUERIES = {
     "op9_passages": op9_passages,
     "op10_bpe": op10_bpe,
     "op12_runs": op12_runs,
+    "op13_lexical": op13_lexical,
 }
 
 
@@ -243,6 +249,40 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(len(d.l), 0) - coalesce(kept.n, 0) AS INTEGER) AS n_removed
         FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
     """,
+    "op13_lexical": """
+        WITH word AS (
+            SELECT doc_id, unnest(list_filter(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS t
+            FROM documents
+        ), tf AS (
+            SELECT doc_id, t, count(*) AS tf FROM word GROUP BY doc_id, t
+        ), doc AS (
+            SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id
+        ), total AS (
+            SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM doc
+        ), term AS (
+            SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, total GROUP BY t, docs
+        ), item AS (
+            SELECT item_id, t, count(*) AS c FROM (
+                SELECT item_id, unnest(list_filter(regexp_split_to_array(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS t
+                FROM benchmark) GROUP BY item_id, t
+        ), impact AS (
+            SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len)) AS v
+            FROM tf JOIN doc USING (doc_id), total
+        ), score AS (
+            SELECT item_id, doc_id, CAST(sum(c * w * v) AS BIGINT) AS score
+            FROM item JOIN term USING (t) JOIN impact USING (t) GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score
+            FROM score WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 20
+    """,
     "op12_runs": """
         WITH crc AS (
             SELECT doc_id, text, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
