@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import bpe, curves, lexical, lines, near_dup, packing, passages, quality, runs, toxicity, vafile, warc
+from ledgerwatch.llm import bpe, curves, lexical, lines, near_dup, packing, passages, perplexity, quality, runs, toxicity, vafile, warc
 from ledgerwatch.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = perplexity.judge(documents(spark, sf_dir).select("doc_id", "lang", "text"))
+    return found.select("row.doc_id", *perplexity.BASE, "base_failed", "kept", "perplexity", "lower", "upper")
+
+
 def told_again(rows: pa.StructArray, bounds: np.ndarray) -> np.ndarray:
     """In texts whose id has a checksum divisible by ten, words that stand for all from some place on.
 
@@ -142,6 +147,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op9_passages": op9_passages,
     "op10_bpe": op10_bpe,
+    "op11_perplexity": op11_perplexity,
     "op12_runs": op12_runs,
     "op13_lexical": op13_lexical,
 }
