@@ -10,12 +10,16 @@ settlement rules move the fact, by its own id.
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
+from decimal import Decimal
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,20 +165,67 @@ def reference_findings(settlements: DataFrame) -> DataFrame:
     )
 
 
-def outlier_findings(fact: DataFrame, deviations: float) -> DataFrame:
-    """The highest ordinary amount of each type; a single row has no deviation, so no limit."""
+LIMB = 10**9  # amounts in cents are cut into two limbs, so that products fit a long
+
+
+def amount_moments(fact: DataFrame) -> DataFrame:
+    """Exact power sums of the amounts of each type, in cents: rows that add up over parts of a table.
+
+    An amount is a * 10^9 + b cents. Sums of a*a, a*b and b*b hold the sum of squares in whole numbers
+    for more rows than any table has, whatever the amounts.
+    """
+    cents = (F.col("amount") * 100).cast("bigint")
+    wide = "decimal(28,0)"
     return (
-        fact.groupBy("type")
+        fact.select("type", cents.alias("_c"))
+        .select("type", "_c", F.expr(f"_c div {LIMB}L").alias("_a"), (F.col("_c") % F.lit(LIMB)).alias("_b"))
+        .groupBy("type")
         .agg(
-            (F.avg("amount").cast("double") + deviations * F.stddev_samp("amount")).alias(
-                "ceiling"
-            ),
             F.count(F.lit(1)).alias("n"),
+            F.count("_c").alias("amounts"),
+            F.sum(F.col("_c").cast(wide)).alias("s"),
+            F.sum((F.col("_a") * F.col("_a")).cast(wide)).alias("aa"),
+            F.sum((F.col("_a") * F.col("_b")).cast(wide)).alias("ab"),
+            F.sum((F.col("_b") * F.col("_b")).cast(wide)).alias("bb"),
         )
-        .where("ceiling IS NOT NULL")
     )
 
 
+MOMENTS = ("n", "amounts", "s", "aa", "ab", "bb")
+
+
+def highest_ordinary(amounts: int, total: int, squares: int, deviations: Fraction) -> int:
+    """The highest whole x that is not over mean + deviations * sample deviation, in integers alone.
+
+    x is over it exactly if n x - total > sqrt(deviations^2 n (n squares - total^2) / (n - 1)).
+    """
+    spread = deviations**2 * amounts * (amounts * squares - total * total) / (amounts - 1)
+    return (total + math.isqrt(math.floor(spread))) // amounts
+
+
+def outlier_ceilings(moments: DataFrame, deviations: float) -> DataFrame:
+    """(type, ceiling, n): the highest ordinary amount of each type; one amount alone has no ceiling."""
+    times = Fraction(str(deviations))
+
+    def ceilings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # a row for each type
+            rows = []
+            for r in batch.to_pylist():
+                n, s, aa, ab, bb = (int(r[c]) for c in MOMENTS[1:])
+                top = highest_ordinary(n, s, aa * LIMB**2 + 2 * ab * LIMB + bb, times)
+                rows.append({"type": r["type"], "ceiling": Decimal(top).scaleb(-2), "n": r["n"]})
+            yield pa.RecordBatch.from_pylist(rows, schema=_CEILINGS)
+
+    return moments.where("amounts > 1").mapInArrow(ceilings, "type string, ceiling decimal(38,2), n bigint")
+
+
+_CEILINGS = pa.schema([("type", pa.string()), ("ceiling", pa.decimal128(38, 2)), ("n", pa.int64())])
+
+
+def outlier_findings(fact: DataFrame, deviations: float) -> DataFrame:
+    return outlier_ceilings(amount_moments(fact), deviations)
+
+
 def velocity_findings(fact: DataFrame, limit: int, back: int) -> DataFrame:
     """(destination, hour) cells with more than `limit` arrivals in that hour and the `back` before.
 

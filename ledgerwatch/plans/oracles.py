@@ -118,6 +118,18 @@ _EXPECTED_DEST = (
 )
 _TWICE = "(SELECT account_id FROM customer_master GROUP BY account_id HAVING count(*) > 1)"
 
+
+def _over_deviations(times: int) -> str:
+    """Amounts over mean + times * deviation, squared out in whole cents so that nothing is rounded."""
+    return (
+        "SELECT txn_id FROM (SELECT txn_id, type, CAST(amount * 100 AS HUGEINT) AS c FROM fact) JOIN ("
+        "SELECT type, count(c) AS n, CAST(sum(c) AS HUGEINT) AS s, CAST(sum(c * c) AS HUGEINT) AS ss"
+        " FROM (SELECT type, CAST(amount * 100 AS HUGEINT) AS c FROM fact) GROUP BY type) m"
+        " USING (type) WHERE n > 1 AND c * n > s"
+        f" AND (c * n - s) * (c * n - s) * (n - 1) > {times * times} * n * (n * ss - s * s)"
+    )
+
+
 RULES = {
     "NULL_AMOUNT": "SELECT txn_id FROM fact WHERE amount IS NULL",
     "NULL_TYPE": "SELECT txn_id FROM fact WHERE type IS NULL",
@@ -161,8 +173,7 @@ RULES = {
     "LATE_SETTLEMENT": "SELECT f.txn_id FROM fact f JOIN settlements s USING (txn_id)"
     " WHERE s.settlement_date - CAST(f.txn_ts AS DATE) > 2",
     "FUTURE_DATED": "SELECT txn_id FROM fact WHERE txn_ts > TIMESTAMP '2026-01-20'",
-    "AMOUNT_ZSCORE_BY_TYPE": "SELECT txn_id FROM fact QUALIFY amount >"
-    " avg(amount) OVER (PARTITION BY type) + 4 * stddev_samp(amount) OVER (PARTITION BY type)",
+    "AMOUNT_ZSCORE_BY_TYPE": _over_deviations(4),
     "DEST_VELOCITY": "SELECT txn_id FROM fact QUALIFY count(*) OVER"
     " (PARTITION BY name_dest ORDER BY step RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) > 10",
 }
@@ -203,6 +214,35 @@ cut AS (SELECT quantile_cont(score, 0.995) AS top_cut FROM given),
 flagged AS (SELECT txn_id, score, score > (SELECT top_cut FROM cut) AS is_anomaly FROM given)"""
 
 
+_GIVEN_FOREST = """
+rows AS (
+  SELECT txn_id, type, ln(1 + CAST(paid AS DOUBLE)) AS v0, CAST(old_o - new_o - paid AS DOUBLE) AS v1,
+         CAST(new_d - old_d - paid AS DOUBLE) AS v2, CAST(old_o AS DOUBLE) AS v3, CAST(old_d AS DOUBLE) AS v4,
+         CASE WHEN old_o > 0 THEN least(10, greatest(-10, CAST(paid AS DOUBLE) / CAST(old_o AS DOUBLE))) ELSE 0 END AS v5
+  FROM (SELECT txn_id, coalesce(type, '0') AS type, greatest(amount, 0) AS paid,
+               coalesce(oldbalance_org, 0) AS old_o, coalesce(newbalance_orig, 0) AS new_o,
+               coalesce(oldbalance_dest, 0) AS old_d, coalesce(newbalance_dest, 0) AS new_d
+        FROM fact WHERE amount IS NOT NULL)),
+nodes AS (
+  SELECT tree, node, node >= 15 OR (node >= 3 AND (tree + node) % 5 = 0) AS leaf, (tree * 7 + node * 3) % 7 AS f,
+         floor(log2(node + 1)) + (tree * 3 + node) % 16 / 8 AS path,
+         CASE (tree + node) % 5 WHEN 0 THEN 'CASH_IN' WHEN 1 THEN 'CASH_OUT' WHEN 2 THEN 'DEBIT'
+                                WHEN 3 THEN 'PAYMENT' ELSE 'TRANSFER' END AS category
+  FROM (SELECT unnest(range(8)) AS tree) CROSS JOIN (SELECT unnest(range(31)) AS node)),
+way AS (
+  SELECT r.*, tree, node, leaf, f, path, category FROM rows r CROSS JOIN nodes WHERE node = 0
+  UNION ALL
+  SELECT w.* EXCLUDE (node, leaf, f, path, category), n.node, n.leaf, n.f, n.path, n.category
+  FROM way w JOIN nodes n ON n.tree = w.tree AND NOT w.leaf AND n.node = 2 * w.node + 1 + CAST(CASE w.f
+    WHEN 0 THEN v0 > 8 + (w.tree * 5 + w.node) % 5
+    WHEN 1 THEN v1 > ((w.tree * 31 + w.node * 17) % 2001 - 1000) * 100
+    WHEN 2 THEN v2 > ((w.tree * 31 + w.node * 17) % 2001 - 1000) * 100
+    WHEN 3 THEN v3 > (w.tree + w.node * 13) % 50 * 10000
+    WHEN 4 THEN v4 > (w.tree + w.node * 13) % 50 * 10000
+    WHEN 5 THEN v5 > (w.tree + w.node) % 20 / 16
+    ELSE w.type = w.category END AS INT))"""
+
+
 def _base(select: str) -> str:
     return f"WITH {TABLES}\n{select}"
 
@@ -231,11 +271,17 @@ _ROW_TEXT = " || '|' || ".join(
     f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _ROW_COLUMNS.split(", ")
 )
 _ROW_ORDER = ", ".join(f"{c} NULLS FIRST" for c in _ROW_COLUMNS.split(", "))
+_MATRIX_DAYS = ("2025-12-31", *(f"2026-01-{d:02d}" for d in range(1, 32)))
 _FEATURE_TYPES = ("0", "CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER", "WIRE")
 _TOP = """top AS (
   SELECT rule_code, dimension, severity, failed, round(100.0 * (1 - failed / checked), 3) AS rate
   FROM run ORDER BY failed DESC, rule_code LIMIT 10)"""
 
+
+def _draw(row_id: str, seed: int) -> str:
+    return f"(({row_id} % 2147483647 + {seed * 16807}) * 1583458089 % 2147483647)"
+
+
 # the published rates as upper bounds of a draw below 2^31 - 1, in thousandths
 _OTHER_SEED = " ".join(
     f"WHEN x < {upto} * 2147483.647 THEN '{defect}'"
@@ -274,6 +320,16 @@ ORACLES: dict[str, str] = {
         f" (SELECT txn_id, (txn_id % 2147483647 + {42 * 16807}) * 1583458089 % 2147483647 AS x FROM clean)))"
         " WHERE defect_type IS NOT NULL"
     ),
+    "inject_defects_overlapping": _base(
+        "SELECT txn_id, defect_type FROM (SELECT txn_id + 1000000000000000 AS txn_id, 'DUP_TXN' AS defect_type"
+        f" FROM clean WHERE {_draw('txn_id', 43)} >= 4 * 2147483.647 AND {_draw('txn_id', 43)} < 6 * 2147483.647"
+        f" UNION ALL SELECT txn_id, CASE {_OTHER_SEED} END FROM (SELECT txn_id, y * y % 2147483647 AS x FROM"
+        f" (SELECT txn_id, {_draw('txn_id', 42)} AS y FROM (SELECT txn_id FROM clean UNION ALL"
+        " SELECT txn_id + 1000000000000000 FROM clean"
+        f" WHERE {_draw('txn_id', 43)} >= 4 * 2147483.647 AND {_draw('txn_id', 43)} < 6 * 2147483.647)))"
+        " WHERE x < 4 * 2147483.647 OR x >= 6 * 2147483.647) WHERE defect_type IS NOT NULL"
+    ),
+    "feed_round_trip": _base(f"SELECT txn_id, {_STAGED} FROM stg_transactions"),
     "defect_counts": _base(
         "SELECT defect_type, count(*) AS injected FROM injected_defects GROUP BY defect_type"
     ),
@@ -358,8 +414,7 @@ ORACLES: dict[str, str] = {
         " WHERE step >= 0 AND amount > 1000 * (step % 40)"
     ),
     "catalog_round_trip": _base(
-        "SELECT CAST(28 AS BIGINT) AS rule_id, txn_id FROM fact QUALIFY amount >"
-        " avg(amount) OVER (PARTITION BY type) + 3 * stddev_samp(amount) OVER (PARTITION BY type)"
+        f"SELECT CAST(28 AS BIGINT) AS rule_id, txn_id FROM ({_over_deviations(3)})"
         " UNION ALL SELECT 31, txn_id FROM fact WHERE amount > 500000 AND oldbalance_dest < newbalance_dest"
         " UNION ALL SELECT 6, txn_id FROM fact WHERE amount < 0"
     ),
@@ -442,8 +497,9 @@ ORACLES: dict[str, str] = {
         " count(*) FILTER (WHERE NOT sla_met) AS sla_breaches FROM control GROUP BY day"
     ),
     "rule_date_matrix": _run(
-        "SELECT * FROM (PIVOT (SELECT rule_code, CAST(day AS VARCHAR) AS day, failed FROM day_run)"
-        " ON day USING CAST(sum(failed) AS BIGINT) GROUP BY rule_code)"
+        "SELECT rule_code, "
+        + ", ".join(f"CAST(sum(CASE WHEN day = DATE '{d}' THEN failed END) AS BIGINT) AS \"{d}\"" for d in _MATRIX_DAYS)
+        + " FROM day_run GROUP BY rule_code"
     ),
     "dest_lookup_laid_out": _base(
         "SELECT type, count(*) AS txn_count FROM fact"
@@ -472,6 +528,9 @@ ORACLES: dict[str, str] = {
         " coalesce(oldbalance_dest, 0) AS old_d, coalesce(newbalance_dest, 0) AS new_d"
         " FROM fact WHERE amount IS NOT NULL)"
     ),
+    "scores_given_forest": f"WITH RECURSIVE {TABLES},\n{_GIVEN_FOREST}\n"
+    "SELECT txn_id, round(pow(2, -(sum(path) / 8) / (2 * (ln(255) + 0.5772156649015329) - 2 * 255.0 / 256)), 8) AS score"
+    " FROM way WHERE leaf GROUP BY txn_id",
     "eval_given_scores": _given(
         "SELECT count(*) AS records, count(*) FILTER (WHERE top) AS k, CAST(sum(is_fraud) AS BIGINT) AS frauds,"
         " count(*) FILTER (WHERE top AND is_fraud = 1) AS true_positives,"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RULES = standard_rules()
 AS_OF = tb.AS_OF
 REPORT_DATE = date(2026, 1, 20)
+MATRIX_DAYS = [str(date(2026, 1, 1) + timedelta(days)) for days in range(-1, 31)]  # hours -1 to 743
 LOOKUP = ("C7", 100, 200)
 CUSTOM_PREDICATE = "amount > 500000 AND oldbalance_dest < newbalance_dest"
 NIGHT_QUERY = (
@@ -171,6 +172,19 @@ def stage_text_feed(spark, sf_dir):
     return plain(staged.unionByName(rejected))
 
 
+def inject_defects_overlapping(spark, sf_dir):
+    """Copies drawn by themselves, and then originals and copies damaged alike."""
+    clean = tb.clean_transactions(spark, sf_dir)
+    return defects.inject_defects(clean, seed=anomaly.SEED, duplicate_offset=tb.COPY_OFFSET, exclusive=False)[1]
+
+
+def feed_round_trip(spark, sf_dir):
+    """Transactions written as a text feed by the sink, read by the source and typed."""
+    path = scratch_path(spark, "feed")
+    tables.write_feed(tb.as_text(tb.damaged(spark, sf_dir)[0]), path)
+    return plain(staging.stage_transactions(tables.read_feed(spark, "transactions", path, keyed=True)))
+
+
 def defect_counts(spark, sf_dir):
     return defects.defect_counts(tb.damaged(spark, sf_dir)[1])
 
@@ -463,7 +477,7 @@ def control_trend(spark, sf_dir):
 
 
 def rule_date_matrix(spark, sf_dir):
-    return marts.rule_date_matrix(settle(_daily_scorecard(spark, sf_dir))[0])
+    return marts.rule_date_matrix(_daily_scorecard(spark, sf_dir), MATRIX_DAYS)
 
 
 def dest_lookup(spark, sf_dir):
@@ -518,6 +532,12 @@ def anomaly_flag_counts(spark, sf_dir):
     return anomaly.flag_counts(_scores(spark, sf_dir))
 
 
+def scores_given_forest(spark, sf_dir):
+    """A forest that SQL can state, walked for every row."""
+    scored = anomaly.score(_features(spark, sf_dir), tb.given_forest(spark))
+    return _rounded(scored.select("txn_id", "score"), "score")
+
+
 def _given_scores(spark, sf_dir):
     """A stand-in score with ties, so that selection and metrics have one right answer."""
     rows = tb.warehouse(spark, sf_dir).fact.where("amount IS NOT NULL")
@@ -634,6 +654,8 @@ QUERIES: dict[str, Query] = {
     "inject_defects": inject_defects,
     "injected_defects_log": injected_defects_log,
     "inject_defects_other_seed": inject_defects_other_seed,
+    "inject_defects_overlapping": inject_defects_overlapping,
+    "feed_round_trip": feed_round_trip,
     "defect_counts": defect_counts,
     "dim_customer": dim_customer,
     "dim_txn_type": dim_txn_type,
@@ -689,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "anomaly_top50": anomaly_top50,
     "anomaly_by_type": anomaly_by_type,
     "anomaly_histogram": anomaly_histogram,
+    "scores_given_forest": scores_given_forest,
     "eval_given_scores": eval_given_scores,
     "flag_given_scores": flag_given_scores,
     "overview_given_scores": overview_given_scores,

@@ -134,6 +134,38 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     )
 
 
+GIVEN_TREES, GIVEN_DEPTH = 8, 4
+
+
+def given_forest(spark: SparkSession) -> DataFrame:
+    """A forest by arithmetic on (tree, node), with inner nodes of every feature and leaves at several depths.
+
+    Its path lengths are eighths, so that sums of them are exact in any order.
+    """
+    inner, every = 2**GIVEN_DEPTH - 1, 2 ** (GIVEN_DEPTH + 1) - 1
+    leaf = f"(%s >= {inner} OR (%s >= 3 AND (tree + %s) %% 5 = 0))"
+    parent, grand, great = "(node - 1) div 2", "((node - 1) div 2 - 1) div 2", "(((node - 1) div 2 - 1) div 2 - 1) div 2"
+    hidden = " OR ".join(f"({n}) > 2 AND {leaf % (f'({n})', f'({n})', f'({n})')}" for n in (parent, grand, great))
+    return (
+        spark.range(GIVEN_TREES * every)
+        .selectExpr(f"CAST(id div {every} AS INT) AS tree", f"CAST(id % {every} AS INT) AS node")
+        .where(f"NOT ({hidden})")
+        .selectExpr("*", f"{leaf % ('node', 'node', 'node')} AS leaf", "(tree * 7 + node * 3) % 7 AS f",
+                    "CAST(floor(log2(node + 1)) AS INT) AS depth")
+        .selectExpr(
+            "tree", "node", "IF(leaf, -1, CAST(f AS INT)) AS feature",
+            "IF(NOT leaf AND f = 6, get(array('CASH_IN', 'CASH_OUT', 'DEBIT', 'PAYMENT', 'TRANSFER'),"
+            " CAST((tree + node) % 5 AS INT)), NULL) AS category",
+            "CAST(CASE WHEN leaf THEN 0 WHEN f = 0 THEN 8 + (tree * 5 + node) % 5"
+            " WHEN f IN (1, 2) THEN ((tree * 31 + node * 17) % 2001 - 1000) * 100"
+            " WHEN f IN (3, 4) THEN (tree + node * 13) % 50 * 10000 WHEN f = 5 THEN (tree + node) % 20 / 16 ELSE 0.5 END AS DOUBLE)"
+            " AS threshold",
+            "IF(node = 0, 256, 1 + (tree + node) % 9) AS rows", "depth",
+            "IF(leaf, depth + (tree * 3 + node) % 16 / 8, 0D) AS path",
+        )
+    )
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """A typed table as a text feed: NULL is empty."""
     return df.select(
