@@ -31,7 +31,9 @@ from ledgerwatch.session import settle
 
 ORDER = 5  # bytes in an n-gram, 7 at most
 HEAD = 1 << 20  # n-grams that every task holds, 12 bytes each
-HELD = 1 << 21  # distinct n-grams that a counting task gathers before it hands them on
+HELD = 1 << 19  # distinct n-grams that a counting task gathers before it hands them on
+AT_ONCE = 1 << 18  # n-grams looked up side by side
+TEXT_BYTES = 1 << 20  # of texts worked on side by side
 UNIT = 1 << 16  # log probabilities are whole numbers of 1/UNIT bits
 WIDTH = 6  # median deviations from the middle of a band to its edges
 NARROWEST = 10  # thousandths of a bit that count as deviation, at least
@@ -137,7 +139,7 @@ def counted(docs: DataFrame, order: int) -> DataFrame:
             keys, counts = tally(*(np.concatenate(x) for x in zip(*held)))
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "c"])
 
-        for batch in slices(batches):
+        for batch in slices(batches, size=TEXT_BYTES):
             bounds, words = cut_words(batch.column(0))
             held.append(tally(packed(*joined(words, bounds), order)[1]))
             size += len(held[-1][0])
@@ -246,10 +248,14 @@ class Held:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The value of each key, -1 for those that are not held."""
+        parts = [self._some(keys[k : k + AT_ONCE]) for k in range(0, len(keys), AT_ONCE)]
+        return np.concatenate([np.zeros(0, np.int32), *parts])
+
+    def _some(self, keys: np.ndarray) -> np.ndarray:
         hashes = mixed(keys.astype(np.uint64))
         lead = (hashes >> self.shift).astype(np.int64)
         at, stop = self.index[lead], self.index[lead + 1]
-        out = np.full(len(keys), -1, np.int64)
+        out = np.full(len(keys), -1, np.int32)
         open_ = np.flatnonzero(at < stop)
         while len(open_):
             place = at[open_]
@@ -272,7 +278,7 @@ def scored(docs: DataFrame, model: Model, language: str | None = "lang") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Held(*held.value)
-        for batch in slices(batches):
+        for batch in slices(batches, size=TEXT_BYTES):
             text = batch.column("text")
             bounds, words = cut_words(text)
             codes = np.asarray(pc.dictionary_encode(words).indices, dtype=np.int64)
