@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,7 +148,7 @@ def buckets(rows: DataFrame, weights: np.ndarray, documents: int, length: int) -
             )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
+        number = TaskContext.get().partitionId()  # the longest of all are in bucket 0 of the first task
         for batch in slices(batches, BUCKET):
             ids = batch.column("doc_id")
             row = {
