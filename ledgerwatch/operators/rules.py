@@ -113,6 +113,14 @@ def accounts_in_use(fact: DataFrame) -> DataFrame:
     )
 
 
+def account_flags(copies: Column) -> list[Column]:
+    """What an account in use is short of, by the rows that the master has for it (NULL is none)."""
+    return [
+        (F.col("account").startswith("C") & copies.isNull()).alias("orphan"),
+        F.coalesce(copies > 1, F.lit(False)).alias("repeated"),
+    ]
+
+
 def account_findings(wh: Warehouse) -> DataFrame:
     """Accounts in use that the customer dimension lacks or the master repeats.
 
@@ -234,7 +242,11 @@ def velocity_findings(fact: DataFrame, limit: int, back: int) -> DataFrame:
     however long a destination's history is. Rows without an hour are peers of each other
     alone.
     """
-    cells = fact.groupBy("name_dest", "step").agg(F.count(F.lit(1)).alias("n"))
+    return busy_cells(fact.groupBy("name_dest", "step").agg(F.count(F.lit(1)).alias("n")), limit, back)
+
+
+def busy_cells(cells: DataFrame, limit: int, back: int) -> DataFrame:
+    """The cells (name_dest, step, n) over the limit, with their arrivals."""
     if not 0 <= back < VELOCITY_BLOCK:
         raise ValueError(f"hours_back must be under {VELOCITY_BLOCK}")
     block = F.floor(F.col("step") / VELOCITY_BLOCK)

@@ -391,6 +391,15 @@ ORACLES: dict[str, str] = {
     "exceptions_incremental": _run(
         "SELECT CAST(rule_id AS BIGINT) AS rule_id, txn_id FROM queue WHERE txn_id % 2 = 1"
     ),
+    "exceptions_by_delta": _run("SELECT CAST(rule_id AS BIGINT) AS rule_id, txn_id FROM queue"),
+    "stored_queue": _run(
+        "SELECT CAST(rule_id AS BIGINT) AS rule_id, txn_id, CASE WHEN txn_id % 2 = 0 THEN '2026-01-19 00:00:00'"
+        " ELSE '2026-01-20 00:00:00' END AS detected_at, 'OPEN' AS status FROM queue"
+    ),
+    "stored_open_queue": _run(
+        "SELECT CAST(rule_id AS BIGINT) AS rule_id, txn_id FROM queue"
+        " WHERE txn_id >= 8192 OR (txn_id % 4 <> 0 AND txn_id % 10 <> 0)"
+    ),
     "run_log": _run(
         "SELECT CAST(rule_id AS BIGINT) AS rule_id, '2026-01-20 00:00:00' AS run_ts,"
         " checked AS records_checked, failed AS records_failed, failed AS records_failing FROM run"

@@ -20,7 +20,9 @@ from ledgerwatch.operators.catalog import (
     set_active,
     standard_rules,
 )
+from ledgerwatch.operators.delta import DeltaStore
 from ledgerwatch.operators.queue import apply_updates, mark_new, new_exceptions
+from ledgerwatch.operators.queue_store import QueueStore
 from ledgerwatch.operators.rules import failing, failing_rule
 from ledgerwatch.plans import marts
 from ledgerwatch.plans import testbed as tb
@@ -304,6 +306,50 @@ def exceptions_incremental(spark, sf_dir):
     )
 
 
+CUTS = 10
+
+
+def _cut(rows: DataFrame, *key: str) -> DataFrame:
+    return rows.withColumn("_cut", F.pmod(F.xxhash64(*key), F.lit(CUTS)))
+
+
+def exceptions_by_delta(spark, sf_dir):
+    """All rules over ten cuts of the three feeds as they come in, late settlements and accounts among them."""
+    wh = tb.warehouse(spark, sf_dir)
+    fact, _ = settle(_cut(wh.fact, "txn_id"))
+    paid, _ = settle(_cut(wh.settlements, "settlement_ref", "txn_id"))
+    master, _ = settle(_cut(wh.customer_master, "account_id", "opened_date"))
+    store = DeltaStore(spark, scratch_path(spark, "delta"), RULES)
+    for k in range(CUTS):
+        mine = [rows.where(F.col("_cut") == k).drop("_cut") for rows in (fact, paid)]
+        # accounts come in three times, so that rows wait for theirs
+        some = master.where(F.col("_cut") % 3 == k // 4).drop("_cut") if k % 4 == 0 else None
+        store.apply(k, AS_OF, *mine, some)
+    return plain(store.failing())
+
+
+def stored_queue(spark, sf_dir):
+    """Two runs into a stored queue: the items with the time of the run that queued them."""
+    store = QueueStore.at(spark, scratch_path(spark, "queue"))
+    found, _ = settle(_hits(spark, sf_dir))
+    store.insert(found.where("txn_id % 2 = 0"), datetime(2026, 1, 19))
+    store.insert(found, AS_OF)
+    return plain(store.read().select("rule_id", "txn_id", "detected_at", "status"))
+
+
+def stored_open_queue(spark, sf_dir):
+    """The open items of a stored queue after analysts closed every fourth and took up every tenth."""
+    store = QueueStore.at(spark, scratch_path(spark, "queue"), width=4096)
+    found, _ = settle(_hits(spark, sf_dir))
+    store.insert(found, AS_OF)
+    sent = found.where("txn_id < 8192 AND (txn_id % 4 = 0 OR txn_id % 10 = 0)").selectExpr(
+        "rule_id", "txn_id", "IF(txn_id % 4 = 0, 'RESOLVED', 'ASSIGNED') AS status", "'ann' AS assigned_to",
+        "CAST(NULL AS STRING) AS note", "TIMESTAMP '2026-01-21 09:00:00' AS updated_at",
+    )
+    store.update(sent)
+    return plain(store.open_items().select("rule_id", "txn_id"))
+
+
 def run_log_query(spark, sf_dir):
     return plain(_run(spark, sf_dir).log.drop("run_id"))
 
@@ -675,6 +721,9 @@ QUERIES: dict[str, Query] = {
     "all_exceptions": all_exceptions,
     "exceptions": exceptions,
     "exceptions_incremental": exceptions_incremental,
+    "exceptions_by_delta": exceptions_by_delta,
+    "stored_queue": stored_queue,
+    "stored_open_queue": stored_open_queue,
     "run_log": run_log_query,
     "run_log_second_run": run_log_second_run,
     "exception_lifecycle": exception_lifecycle,
