@@ -288,7 +288,7 @@ def score(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def flag(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """Adds is_anomaly: a score above the exact (1 - contamination) quantile.
 
-    Pass a written table: the quantile reads the score column a few times.
+    Pass a written table: the quantile reads the score column twice, the flag once more.
     """
     if scored.isEmpty():
         return scored.withColumn("is_anomaly", F.lit(False))

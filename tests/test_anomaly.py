@@ -25,6 +25,36 @@ def test_selection_is_exact(spark, monkeypatch, bins):
         selection.kth_smallest(whole, "v", 1000)
 
 
+def counted_scans(spark, values):
+    """The values as a frame that counts its rows each time they are read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    frame = settle(spark.createDataFrame([(float(v),) for v in values], "v double"))[0]
+    return frame.mapInArrow(run, "v double"), read
+
+
+@pytest.mark.parametrize("q", [0.0, 0.3, 0.995, 1.0])
+def test_a_quantile_reads_the_column_twice(spark, q):
+    values = np.concatenate([np.random.default_rng(7).normal(size=30_000), np.full(15_000, 0.5)])
+    frame, read = counted_scans(spark, values)
+    assert selection.quantile(frame, "v", q) == pytest.approx(np.quantile(values, q), rel=1e-12)
+    assert read.value == 2 * len(values)
+
+
+def test_a_sketch_that_misses_costs_a_scan(spark, monkeypatch):
+    monkeypatch.setattr(selection, "SKETCH", 8)
+    monkeypatch.setattr(selection, "MARGIN", 0.0)
+    values = np.random.default_rng(8).permutation(40_000).astype(float)
+    frame, read = counted_scans(spark, values)
+    assert [selection.kth_smallest(frame, "v", k) for k in (777, 20_000, 39_000)] == [777, 20_000, 39_000]
+    assert read.value > 2 * 3 * len(values)
+
+
 @pytest.fixture(scope="module")
 def rows(spark, sf_dir):
     return settle(anomaly.features(tb.warehouse(spark, sf_dir).fact))[0]
