@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
@@ -9,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 SEVERITIES = ("HIGH", "MEDIUM", "LOW")
 
-# Rule kinds. ROW rules hold a predicate over one fact row and share one scan. QUERY rules
-# hold SQL that returns txn_id. The other kinds are built in and named by what they look at.
-ROW, QUERY = "row", "query"
+# Rule kinds. ROW rules hold a predicate over one fact row and share one scan, and so do JOINED ones,
+# whose predicate also sees the row of a dimension. QUERY rules hold SQL that returns txn_id. The other kinds are built in and named by what they look at.
+ROW, JOINED, QUERY = "row", "joined", "query"
 SETTLEMENT, ACCOUNT, COPIES, REFERENCE, OUTLIER, VELOCITY, MODEL = (
     "settlement",
     "account",
@@ -31,6 +32,11 @@ PARAMS = {
 }
 
 
+# the dimensions that joined rules may name, each with the key it is unique on
+DIMENSION_KEYS = {"dim_customer": "account_id", "dim_time": "time_key", "dim_txn_type": "type"}
+JOINED_TEXT = re.compile(r"JOIN (\w+) ON (\w+) WHERE (.+)", re.DOTALL)
+
+
 @dataclass(frozen=True)
 class Rule:
     rule_id: int
@@ -46,12 +52,21 @@ class Rule:
     def __post_init__(self):
         if self.severity not in SEVERITIES:
             raise ValueError(f"{self.rule_code}: severity must be one of {SEVERITIES}")
-        if self.kind in (ROW, QUERY) and not self.rule_sql:
+        if self.kind in (ROW, JOINED, QUERY) and not self.rule_sql:
             raise ValueError(f"{self.rule_code}: a {self.kind} rule needs SQL text")
+        if self.kind == JOINED:
+            self.joined()
         unknown = set(self.params) - set(PARAMS.get(self.rule_code, ()))
         if unknown:
             raise ValueError(f"{self.rule_code} has no limit {sorted(unknown)}")
 
+    def joined(self) -> tuple[str, str, str]:
+        """Table, fact column and predicate of a joined rule."""
+        found = JOINED_TEXT.fullmatch(self.rule_sql or "")
+        if not found or found[1] not in DIMENSION_KEYS:
+            raise ValueError(f"{self.rule_code}: a joined rule reads JOIN <one of {sorted(DIMENSION_KEYS)}> ON <fact column> WHERE <predicate>")
+        return found[1], found[2], found[3]
+
     def limit(self, name: str) -> float:
         """A limit of a built-in rule: the catalog's own, or the shipped one."""
         return self.params.get(name, PARAMS[self.rule_code][name])
@@ -211,9 +226,14 @@ def add_rule(
     *,
     predicate: str | None = None,
     query: str | None = None,
+    joined: tuple[str, str] | None = None,
 ) -> list[Rule]:
     """The rules and one more, given as a predicate on a fact row or as a query.
 
+    With `joined` = (dimension, fact column) the predicate also sees the dimension's row whose key is
+    the value of that column, as in `dim_customer.kyc_status = 'REJECTED'`; a transaction without such
+    a row does not fail. Any number of these rules share the scan of the fact.
+
     A query names the tables `{fact}`, `{customer_master}`, `{settlements}`,
     `{dim_customer}`, `{dim_time}`, `{dim_txn_type}` and, if there are any, `{scores}` and
     `{injected_defects}`, and returns `txn_id`.
@@ -224,10 +244,12 @@ def add_rule(
     if any(rule.rule_code == rule_code for rule in rules):
         raise ValueError(f"rule {rule_code} exists")
     number = max((rule.rule_id for rule in rules), default=0) + 1
-    kind = ROW if query is None else QUERY
-    return rules + [
-        Rule(number, rule_code, dimension, severity, description, kind, predicate or query)
-    ]
+    kind, text = (ROW, predicate) if query is None else (QUERY, query)
+    if joined is not None:
+        if predicate is None:
+            raise ValueError("a joined rule needs a predicate")
+        kind, text = JOINED, f"JOIN {joined[0]} ON {joined[1]} WHERE {predicate}"
+    return rules + [Rule(number, rule_code, dimension, severity, description, kind, text)]
 
 
 CATALOG = (
@@ -264,7 +286,8 @@ def rules_from_frame(catalog: DataFrame) -> list[Rule]:
         text = given.get("rule_sql")
         if not (kind := given.get("kind")):
             query = text is not None and text.strip().lower().startswith(("select", "with"))
-            kind = QUERY if query else ROW if text else known[given["rule_code"]].kind
+            joined = text is not None and JOINED_TEXT.fullmatch(text)
+            kind = QUERY if query else JOINED if joined else ROW if text else known[given["rule_code"]].kind
         rules.append(Rule(
             given["rule_id"], given["rule_code"], given["dimension"], given["severity"],
             given.get("description") or "", kind, text, given.get("active") is not False,

@@ -132,7 +132,7 @@ class DeltaStore:
         self.rules = [rule for rule in self.rules if rule.active]
         other = [rule.rule_code for rule in self.rules if rule.kind not in KINDS]
         if other:
-            raise ValueError(f"queries and models read all history, run them by themselves: {other}")
+            raise ValueError(f"queries, joined rules and models read all history, run them by themselves: {other}")
         for name, columns in TABLES.items():
             by = columns.split(", ")[-1].split()[0]
             self.tables[name] = Parts(self.spark, os.path.join(self.folder, name), columns, (by,)).create()

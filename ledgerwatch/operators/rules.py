@@ -35,6 +35,8 @@ from ledgerwatch.functions.lookups import (
 from ledgerwatch.operators.catalog import (
     ACCOUNT,
     COPIES,
+    DIMENSION_KEYS,
+    JOINED,
     MODEL,
     OUTLIER,
     QUERY,
@@ -51,7 +53,8 @@ from ledgerwatch.session import settle
 BUSINESS_KEY = ("name_orig", "name_dest", "amount", "step", "type")
 
 # a string literal, a quoted name, or the parameter
-QUOTED_OR_MOMENT = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|:as_of\b")
+QUOTED = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`"
+QUOTED_OR_MOMENT = re.compile(rf"{QUOTED}|:as_of\b")
 
 VELOCITY_BLOCK = 1024  # hours in one window group
 
@@ -85,8 +88,17 @@ def _code(rules: dict[str, Rule], rule_code: str, condition: Column) -> Column:
 
 
 def predicate(rule: Rule, as_of: datetime) -> Column:
-    moment = f"TIMESTAMP_NTZ '{utc(as_of):%Y-%m-%d %H:%M:%S.%f}'"
-    return F.expr(with_moment(rule.rule_sql, moment))
+    return F.expr(with_moment(rule.rule_sql, _moment(as_of)))
+
+
+def _moment(as_of: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{utc(as_of):%Y-%m-%d %H:%M:%S.%f}'"
+
+
+def renamed_table(text: str, table: str, name: str) -> str:
+    """The text with `table.` as `name.`, but for what stands in quotes."""
+    pattern = re.compile(rf"{QUOTED}|\b{table}\s*\.")
+    return pattern.sub(lambda m: f"{name}." if m[0][0] not in "'\"`" else m[0], text)
 
 
 def with_moment(text: str, moment: str) -> str:
@@ -332,6 +344,40 @@ def _account_hits_shuffled(wh: Warehouse, rules: dict[str, Rule], lookup: Lookup
     return _tagged(join_back(sides, lookup, heavy), codes)
 
 
+def joined_scans(
+    wh: Warehouse, rules: Iterable[Rule], as_of: datetime, scan: DataFrame, limits: Limits
+) -> tuple[DataFrame, list[Column], list[DataFrame]]:
+    """The scan with the dimensions of the joined rules attached, their codes, and hits of what is not broadcast.
+
+    Each pair of a dimension and a fact column is one lookup, however many rules name it.
+    """
+    pairs: dict[tuple[str, str], list[Rule]] = {}
+    for rule in rules:
+        pairs.setdefault(rule.joined()[:2], []).append(rule)
+    codes, parts, held = [], [], {}
+    for table in {table for table, _ in pairs}:
+        key = DIMENSION_KEYS[table]
+        rows = query_tables(wh)[table]().where(F.col(key).isNotNull())
+        others = F.to_json(F.struct("*"))  # as text, for the measure of its size
+        held[table] = make_lookup(rows.select(F.col(key).alias("_at"), F.struct("*").alias("_row"), others.alias("_text")), ("_at", "_text"), limits)
+    for (table, column), mine in pairs.items():
+        lookup, name = held[table], f"_{table}_{column}"
+        found = lookup.frame.select(F.col("_at").alias(f"{name}_at"), F.col("_row").alias(name))
+        tests = []
+        for rule in mine:
+            text = renamed_table(with_moment(rule.joined()[2], _moment(as_of)), table, name)
+            tests.append(F.when(F.col(name).isNotNull() & F.expr(text), F.lit(rule.rule_id)))
+        if lookup.fits:
+            scan = attach(scan, Lookup(found, (f"{name}_at",), True, limits), on=(column,))
+            codes += tests
+            continue
+        counts = wh.fact.groupBy(F.col(column).alias(f"{name}_at")).agg(F.count(F.lit(1)).alias("n"))
+        counted = make_lookup(found.join(counts, f"{name}_at"), (f"{name}_at",), limits)
+        rows = join_back(wh.fact.withColumn(f"{name}_at", F.col(column)), counted)
+        parts.append(_tagged(rows, tests))
+    return scan, codes, parts
+
+
 def _by_kind(rules: Iterable[Rule]) -> dict[str, dict[str, Rule]]:
     kinds: dict[str, dict[str, Rule]] = {}
     for rule in rules:
@@ -433,6 +479,10 @@ def failing_pairs(
             hits = rows.where(F.expr(test))
             parts.append(hits.select(F.lit(rule.rule_id).alias("rule_id"), "txn_id"))
 
+    if JOINED in kinds:
+        scan, more, apart = joined_scans(wh, kinds[JOINED].values(), as_of, scan, limits)
+        codes += more
+        parts += apart
     if codes:
         parts.append(_tagged(scan, codes))
     if SETTLEMENT in kinds:

@@ -422,6 +422,27 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(31 + step % 40 AS BIGINT) AS rule_id, txn_id FROM fact"
         " WHERE step >= 0 AND amount > 1000 * (step % 40)"
     ),
+    "twenty_joined_rules": _base(
+        "SELECT CAST(31 + 2 * k + side AS BIGINT) AS rule_id, txn_id FROM (SELECT txn_id, type, unnest([0, 1]) AS side,"
+        " unnest([name_orig, name_dest]) AS party FROM fact) f JOIN dim_customer d ON d.account_id = f.party"
+        " JOIN (VALUES (0, 'REJECTED', 'TRANSFER'), (1, 'REJECTED', 'CASH_OUT'), (2, 'EXPIRED', 'TRANSFER'),"
+        " (3, 'EXPIRED', 'CASH_OUT'), (4, 'PENDING', 'TRANSFER'), (5, 'PENDING', 'CASH_OUT')) AS r(k, status, kind)"
+        " ON r.status = d.kyc_status AND r.kind = f.type"
+        " UNION ALL SELECT 43 + extract(hour FROM txn_ts) - 2, txn_id FROM fact"
+        " WHERE extract(hour FROM txn_ts) BETWEEN 2 AND 5 AND amount > 100000"
+        " UNION ALL SELECT 47 + step % 4, txn_id FROM fact"
+        " WHERE type = 'CASH_IN' AND step >= 0 AND newbalance_orig - oldbalance_org <> amount"
+    ),
+    "settlement_rules_bucketed": _run(
+        "SELECT CAST(rule_id AS BIGINT) AS rule_id, txn_id FROM queue"
+        " WHERE rule_code IN ('SETTLEMENT_MISSING', 'SETTLEMENT_AMOUNT_DIFF', 'LATE_SETTLEMENT')"
+    ),
+    "party_lookups": _base(
+        "SELECT lookup, txn_id, CAST(step AS BIGINT) AS step, CAST(amount AS DOUBLE) AS amount FROM ("
+        "SELECT 'destination' AS lookup, * FROM fact WHERE name_dest = 'C7' AND step BETWEEN 100 AND 200"
+        " UNION ALL SELECT 'origin', * FROM fact WHERE name_orig = 'C7'"
+        " UNION ALL SELECT 'transaction', * FROM fact WHERE txn_id = 4242)"
+    ),
     "catalog_round_trip": _base(
         f"SELECT CAST(28 AS BIGINT) AS rule_id, txn_id FROM ({_over_deviations(3)})"
         " UNION ALL SELECT 31, txn_id FROM fact WHERE amount > 500000 AND oldbalance_dest < newbalance_dest"

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ledgerwatch.operators import anomaly, defects, recall, staging
 from ledgerwatch.operators import warehouse as dw
 from ledgerwatch.operators.catalog import (
+    SETTLEMENT,
     add_rule,
     catalog_frame,
     rules_from_frame,
@@ -415,6 +416,61 @@ def forty_user_rules(spark, sf_dir):
     return plain(failing(tb.warehouse(spark, sf_dir), rules[len(RULES):], AS_OF))
 
 
+def _joined_rules() -> list:
+    """Twenty rules over three dimensions and both accounts."""
+    rules = RULES
+    for k, (status, kind) in enumerate((s, t) for s in ("REJECTED", "EXPIRED", "PENDING") for t in ("TRANSFER", "CASH_OUT")):
+        text = f"dim_customer.kyc_status = '{status}' AND type = '{kind}'"
+        for side in ("name_orig", "name_dest"):
+            rules = add_rule(rules, f"{side.upper()}_{k}", "Integrity", "HIGH", "Status of a party", predicate=text, joined=("dim_customer", side))
+    for hour in (2, 3, 4, 5):
+        text = f"dim_time.hour_of_day = {hour} AND amount > 100000"
+        rules = add_rule(rules, f"NIGHT_{hour}", "Validity", "LOW", "Large at night", predicate=text, joined=("dim_time", "step"))
+    for k in range(4):
+        text = f"dim_txn_type.direction = 'CREDIT' AND newbalance_orig - oldbalance_org <> amount AND step % 4 = {k}"
+        rules = add_rule(rules, f"CREDIT_{k}", "Consistency", "LOW", "Credit that does not add up", predicate=text, joined=("dim_txn_type", "type"))
+    return rules[len(RULES):]
+
+
+def twenty_joined_rules(spark, sf_dir):
+    """Rules on a row and its dimensions, all in one scan of the fact."""
+    return plain(failing(tb.warehouse(spark, sf_dir), _joined_rules(), AS_OF))
+
+
+BUCKETS = 16
+
+
+def settlement_rules_bucketed(spark, sf_dir):
+    """The settlement rules on tables that lie in buckets of the transaction id."""
+    wh = tb.warehouse(spark, sf_dir)
+    stored = {}
+    for name in ("fact", "settlements"):
+        path, rows = scratch_path(spark, f"bucketed-{name}"), getattr(wh, name)
+        tables.write_bucketed(rows, path, "txn_id", BUCKETS)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+        stored[name] = tables.read_bucketed(spark, path, columns, "txn_id", BUCKETS)
+    rules = [rule for rule in RULES if rule.kind == SETTLEMENT]
+    return plain(failing(replace(wh, **stored), rules, AS_OF))
+
+
+def _interleaved(spark, sf_dir):
+    path = scratch_path(spark, "interleaved")
+    tables.write_interleaved_layout(tb.warehouse(spark, sf_dir).fact, path)
+    return tables.read_table(spark, path)
+
+
+def party_lookups(spark, sf_dir):
+    """One layout, read by destination and hours, by origin, and by transaction."""
+    fact = _interleaved(spark, sf_dir)
+    found = {
+        "destination": tables.party_rows(fact, "name_dest", *LOOKUP),
+        "origin": tables.party_rows(fact, "name_orig", LOOKUP[0]),
+        "transaction": fact.where(F.col("txn_id") == 4242),
+    }
+    parts = [rows.select(F.lit(name).alias("lookup"), "txn_id", "step", "amount") for name, rows in found.items()]
+    return plain(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
 def catalog_round_trip(spark, sf_dir):
     """A stored catalog that someone edited: a limit changed, a rule off, a rule added."""
     path = scratch_path(spark, "catalog")
@@ -729,6 +785,8 @@ QUERIES: dict[str, Query] = {
     "exception_lifecycle": exception_lifecycle,
     "custom_sql_rule": custom_sql_rule,
     "forty_user_rules": forty_user_rules,
+    "twenty_joined_rules": twenty_joined_rules,
+    "settlement_rules_bucketed": settlement_rules_bucketed,
     "catalog_round_trip": catalog_round_trip,
     "recall_literal": recall_literal,
     "recall_attributed": recall_attributed,
@@ -750,6 +808,7 @@ QUERIES: dict[str, Query] = {
     "rule_date_matrix": rule_date_matrix,
     "dest_lookup": dest_lookup,
     "dest_lookup_laid_out": dest_lookup_laid_out,
+    "party_lookups": party_lookups,
     "fraud_subset": fraud_subset,
     "open_queue": open_queue,
     "anomaly_features": anomaly_features,
