@@ -2,7 +2,7 @@
 
 For every rule that compares rows the store keeps what its findings are made of, as partial aggregates
 that add up: first ids and counts of keys, hourly cells, power sums, folded settlements, accounts. They
-lie in parts by day, band of ids or hash. A run appends its own aggregates and reads the parts that its
+lie in parts by time, band of ids or hash. A run appends its own aggregates and reads the parts that its
 keys lie in. Old rows whose verdict changes are found from the old and the new aggregates, and looked up
 in narrow tables by the same parts, so the fact is never read as a whole.
 
@@ -48,9 +48,9 @@ from ledgerwatch.operators.rules import (
 from ledgerwatch.session import settle
 from ledgerwatch.sources.parts import Parts, values
 
-HOURS = 24  # of a day part
+HOURS = 24  # in a part by time
 HASHES = 16  # parts of tables by hash
-NO_DAY = -(1 << 40)  # the part of rows without an hour
+NO_HOUR = -(1 << 40)  # the part of rows without an hour
 
 _MONEY = "decimal(18,2)"
 _KEY = f"name_orig string, name_dest string, amount {_MONEY}, step int, type string"
@@ -63,9 +63,9 @@ _FACT = (
 
 # every table of the store, and what its parts are
 TABLES = {
-    "fact": f"{_FACT}, part bigint",  # by day
-    "copies": f"{_KEY}, first_id bigint, n bigint, part bigint",  # by day
-    "cells": "name_dest string, step int, n bigint, part bigint",  # by day
+    "fact": f"{_FACT}, part bigint",  # by time
+    "copies": f"{_KEY}, first_id bigint, n bigint, part bigint",  # by time
+    "cells": "name_dest string, step int, n bigint, part bigint",  # by time
     "moments": f"type string, {_MOMENTS}, part bigint",  # one part
     "amounts": f"type string, amount {_MONEY}, txn_id bigint, part bigint",  # by size
     "settled": f"txn_id bigint, low {_MONEY}, high {_MONEY}, first_ts timestamp_ntz, rows bigint, "
@@ -78,10 +78,6 @@ TABLES = {
 KINDS = (ROW, COPIES, OUTLIER, VELOCITY, SETTLEMENT, REFERENCE, ACCOUNT)
 
 
-def day_of(step: Column) -> Column:
-    return F.coalesce(F.floor(step / HOURS), F.lit(NO_DAY))
-
-
 def hash_part(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(HASHES))
 
@@ -126,6 +122,7 @@ class DeltaStore:
     folder: str
     rules: list[Rule]
     limits: Limits = Limits()
+    hours: int = HOURS  # the same for all runs of a store
     tables: dict[str, Parts] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -139,6 +136,10 @@ class DeltaStore:
 
     # --- what the families share
 
+    def _span(self, step: Column) -> Column:
+        """The part by time that an hour lies in."""
+        return F.coalesce(F.floor(step / self.hours), F.lit(NO_HOUR))
+
     def _one(self, kind: str) -> Rule | None:
         return next((rule for rule in self.rules if rule.kind == kind), None)
 
@@ -181,7 +182,7 @@ class DeltaStore:
         rule = self._one(COPIES)
         fresh, _ = settle(
             fact.groupBy(*BUSINESS_KEY).agg(F.min("txn_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-            .withColumn("part", day_of(F.col("step")))
+            .withColumn("part", self._span(F.col("step")))
         )
         merged, _ = settle(
             self._with_old("copies", fresh).groupBy(*BUSINESS_KEY).agg(
@@ -200,19 +201,23 @@ class DeltaStore:
         rule = self._one(VELOCITY)
         limit, back = int(rule.limit("arrivals")), int(rule.limit("hours_back"))
         fresh, _ = settle(
-            fact.groupBy("name_dest", "step").agg(F.count(F.lit(1)).alias("n")).withColumn("part", day_of(F.col("step")))
+            fact.groupBy("name_dest", "step").agg(F.count(F.lit(1)).alias("n")).withColumn("part", self._span(F.col("step")))
         )
         self.tables["cells"].append(fresh)
-        # the days of the new cells, the one that their reach ends in, and those that a window over both begins in
         step = F.col("step").cast("bigint")
-        reach = [day_of(step + k * back) for k in (-1, 0, 1, 2)]
-        days = values(fresh.select(F.explode(F.array(*reach)).alias("part")), "part")
+
+        def spans(first: Column, last: Column) -> list:
+            """The parts of some hours around each new cell; cells without an hour have their own."""
+            reach = F.sequence(self._span(first), self._span(last))
+            return values(fresh.select(F.explode(F.when(step.isNull(), F.array(F.lit(NO_HOUR))).otherwise(reach)).alias("part")), "part")
+
+        near = spans(step, step + back)  # a new arrival counts in its own hour and in those after
         dests = fresh.select(F.col("name_dest").alias("_dest")).distinct()
-        cells = self.tables["cells"].read(days).join(dests, F.col("name_dest").eqNullSafe(F.col("_dest")), "left_semi")
+        # cells elsewhere in these parts may lack arrivals, but no new ones; they failed before if they do
+        cells = self.tables["cells"].read(spans(step - back, step + back))
+        cells = cells.join(dests, F.col("name_dest").eqNullSafe(F.col("_dest")), "left_semi")
         busy = busy_cells(cells.groupBy("name_dest", "step").agg(F.sum("n").alias("n")), limit, back)
-        near = values(fresh.select(F.explode(F.array(*reach[1:3])).alias("part")), "part")
-        # a cell on the rim may lack arrivals of a day that is not read; it is not near either
-        lookup = make_lookup(busy.where(day_of(F.col("step")).isin(*near)), ("name_dest", "step"), self.limits)
+        lookup = make_lookup(busy.where(self._span(F.col("step")).isin(*near)), ("name_dest", "step"), self.limits)
         rows = self.tables["fact"].read(near).select("name_dest", "step", "txn_id")
         return [self._pairs(join_back(rows, lookup), rule.rule_id)]
 
@@ -357,7 +362,7 @@ class DeltaStore:
         Without new rows only the rules that name the time of the run can change.
         """
         if fact is not None:
-            self.tables["fact"].append(fact.withColumn("part", day_of(F.col("step"))))
+            self.tables["fact"].append(fact.withColumn("part", self._span(F.col("step"))))
         kinds = {rule.kind for rule in self.rules}
         booked, paid = fact is not None, settlements is not None
         jobs: dict[str, tuple[bool, Callable[[], list[DataFrame]]]] = {

@@ -320,7 +320,7 @@ def exceptions_by_delta(spark, sf_dir):
     fact, _ = settle(_cut(wh.fact, "txn_id"))
     paid, _ = settle(_cut(wh.settlements, "settlement_ref", "txn_id"))
     master, _ = settle(_cut(wh.customer_master, "account_id", "opened_date"))
-    store = DeltaStore(spark, scratch_path(spark, "delta"), RULES)
+    store = DeltaStore(spark, scratch_path(spark, "delta"), RULES, hours=168)
     for k in range(CUTS):
         mine = [rows.where(F.col("_cut") == k).drop("_cut") for rows in (fact, paid)]
         # accounts come in three times, so that rows wait for theirs
