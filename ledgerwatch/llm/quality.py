@@ -28,6 +28,8 @@ BINS = 24  # features for each statistic or numeric metadata column
 TRAIN_ROWS = 8_000  # bound on the labelled rows that are fitted
 RANK, EPOCHS, BATCH, RATE, DECAY = 8, 6, 128, 0.08, 1e-4
 
+SCORED_BYTES = 1 << 20  # of rows scored side by side
+
 # Kinds of byte whose shares describe a text's structure.
 KINDS = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -233,12 +235,13 @@ def train(
 def score(docs: DataFrame, model: Model, metadata: tuple[str, ...] = (), name: str = "score") -> DataFrame:
     """All columns of the rows, nested as `row`, and the score from 0 to 1. Empty and null texts have one too."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size, under 1 MB
-    inputs = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"),
-                         *[F.col(c).alias(f"_m{k}") for k, c in enumerate(metadata)])
+    # the text crosses to Python once, inside its row
+    inputs = docs.select(F.struct("*").alias("row"), *[F.col(c).alias(f"_m{k}") for k, c in enumerate(metadata)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = features_of(batch.column("text"), [batch.column(f"_m{k}") for k in range(len(metadata))])
+        for batch in slices(batches, size=SCORED_BYTES):
+            text = pc.struct_field(batch.column("row"), "text").cast(pa.string())
+            found = features_of(text, [batch.column(f"_m{k}") for k in range(len(metadata))])
             values = sigmoid(margins(held.value, *found).astype(np.float64))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values, pa.float64())], names=["row", name])
 
