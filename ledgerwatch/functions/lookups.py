@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.session import settle
@@ -37,11 +37,13 @@ class Lookup:
     limits: Limits
 
 
+def _width(keys: tuple[str, ...]) -> Column:
+    """Bytes of a key as text."""
+    return sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0))
+
+
 def make_lookup(findings: DataFrame, keys: tuple[str, ...], limits: Limits = Limits()) -> Lookup:
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0)
-    )
-    frame, seen = settle(findings, F.sum(width).alias("key_bytes"))
+    frame, seen = settle(findings, F.sum(_width(keys)).alias("key_bytes"))
     # 64 bytes a row is a generous allowance for the fixed-width columns
     size = (seen["key_bytes"] or 0) + 64 * seen["rows"]
     return Lookup(frame, keys, seen["rows"] <= limits.rows and size <= limits.bytes, limits)
@@ -70,8 +72,12 @@ def attach(rows: DataFrame, lookup: Lookup, how: str = "left", on: tuple[str, ..
 
 
 def heaviest(counts: DataFrame, keys: tuple[str, ...], limits: Limits) -> DataFrame:
-    """The keys with most rows: at most `hot_keys` of them, ties in a fixed order."""
-    ranked = counts.where(F.col("n") >= limits.hot_rows).orderBy(F.desc("n"), *keys)
+    """The keys with most rows: at most `hot_keys` of them, ties in a fixed order.
+
+    Keys too long to be among them within `bytes` are left to the shuffle join.
+    """
+    short = _width(keys) + 64 <= max(1, limits.bytes // limits.hot_keys)
+    ranked = counts.where((F.col("n") >= limits.hot_rows) & short).orderBy(F.desc("n"), *keys)
     return ranked.limit(limits.hot_keys).select(*keys)
 
 

@@ -54,7 +54,7 @@ def recall_attributed(defects: DataFrame, exceptions: DataFrame, catalog: DataFr
     )
     # the expected codes narrow the queue before it is shuffled
     fired = (
-        exceptions.join(F.broadcast(catalog.select("rule_id", "rule_code")), "rule_id")
+        exceptions.join(catalog.select("rule_id", "rule_code"), "rule_id")
         .where(F.col("rule_code").isin(*EXPECTED_RULE.values()))
         .select("rule_code", "txn_id")
         .distinct()

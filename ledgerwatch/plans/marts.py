@@ -19,7 +19,8 @@ TOP_RULES = 10
 
 
 def _named(catalog: DataFrame) -> DataFrame:
-    return F.broadcast(catalog.select("rule_id", "rule_code", "dimension", "severity"))
+    """A short table: Spark broadcasts it by its known size."""
+    return catalog.select("rule_id", "rule_code", "dimension", "severity")
 
 
 def _failed_share() -> Column:

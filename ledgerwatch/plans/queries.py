@@ -286,7 +286,7 @@ def rule_anomaly_iforest(spark, sf_dir):
 
 
 def all_exceptions(spark, sf_dir):
-    named = F.broadcast(_catalog(spark).select("rule_id", "rule_code"))
+    named = _catalog(spark).select("rule_id", "rule_code")
     return _hits(spark, sf_dir).join(named, "rule_id").select("rule_code", "txn_id")
 
 

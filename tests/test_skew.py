@@ -3,7 +3,7 @@
 from builders import AS_OF
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.lookups import Limits, join_back, make_lookup
+from ledgerwatch.functions.lookups import Limits, heaviest, join_back, make_lookup
 from ledgerwatch.operators.catalog import standard_rules
 from ledgerwatch.operators.rules import failing
 from ledgerwatch.operators.warehouse import Warehouse
@@ -69,3 +69,12 @@ def test_hot_rows_do_not_reach_the_shuffle(spark):
     assert joined.where("key = -1").count() == 3000
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and "Union" in plan
+
+
+def test_keys_too_long_to_broadcast_are_not_heavy(spark):
+    rows = spark.createDataFrame([("x" * 50,)] * 8 + [("y",)] * 5 + [("z",)] * 2, "key string")
+    findings = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    limits = Limits(rows=0, bytes=1000, hot_keys=10, hot_rows=2)
+    lookup = make_lookup(findings, ("key",), limits)
+    assert [r.key for r in heaviest(lookup.frame, ("key",), limits).collect()] == ["y", "z"]
+    assert join_back(rows, lookup).count() == 15
