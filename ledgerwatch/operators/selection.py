@@ -8,6 +8,8 @@ table is read again: it is narrowed by counting equal bins, until the rank is an
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 
 from pyspark.sql import DataFrame, Observation
@@ -76,8 +78,12 @@ def at_ranks(df: DataFrame, column: str, position) -> list[float | int]:
     skipped = below.get["rows"]
     if not skipped <= ranks[0] or not ranks[-1] < skipped + (size["all"] or 0):
         # the sketch was off by more than its bound: fold all values
-        folded, _ = settle(values.groupBy("value").agg(F.count(F.lit(1)).alias("rows")))
+        folded, size = settle(values.groupBy("value").agg(F.count(F.lit(1)).alias("rows")))
         skipped = 0
+    if size["rows"] <= BINS:  # as few as a round of bins
+        found = sorted(tuple(r) for r in folded.select("value", "rows").collect())
+        upto = list(itertools.accumulate(rows for _, rows in found))
+        return [found[bisect.bisect_right(upto, k - skipped)][0] for k in ranks]
     return [_narrowed(folded, whole, k - skipped) for k in ranks]
 
 
