@@ -50,6 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _settled: list[str] = []  # folders written by this process, for `dropping_settled`
 
 
@@ -84,11 +86,17 @@ def settle(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     """Write a frame to the scratch folder, read it back, and return the metrics of the write.
 
     Cuts the lineage at a table that outlives lost executors. The metrics come
-    from the writing job itself, so sizing the table costs no second pass.
+    from the writing job itself, so sizing the table costs no second pass. What the
+    job shuffled goes when it ends, and not only when the driver collects garbage:
+    nothing reads it again once the table is there.
     """
     spark = df.sparkSession
     path = os.path.join(scratch_root(spark), f"table-{uuid.uuid4().hex}")
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
+    seen, before = Observation(), spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     _settled.append(path)
     return spark.read.schema(df.schema).parquet(path), seen.get
