@@ -14,7 +14,7 @@ the likeliest partners are confirmed and components contracted, at last every li
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,6 +53,7 @@ class Forest:
 
 
 FOREST = Forest()
+PAIRS_AT_ONCE = 1 << 17  # likely pairs that a task holds before it passes them on or keeps the best
 
 
 # --- sets and signatures ------------------------------------------------------------
@@ -161,8 +162,8 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest) -> D
             trees, prefix = table.column("tree").to_numpy(), keys[:, : forest.depth]
             begins = np.ones(table.num_rows, bool)
             begins[1:] = (trees[1:] != trees[:-1]) | (prefix[1:] != prefix[:-1]).any(1)
-            at, other, alike = compared(table, begins, fresh, reach, threshold - forest.slack, threshold)
-            yield named_pairs(table, at, other, alike, among_best(at, alike, 1))
+            found = compared(table, begins, fresh, reach, threshold - forest.slack, threshold)
+            yield named_pairs(table, *best_of(found, lambda at, other: at, 1))
             last = table.slice(max(0, table.num_rows - reach))
 
     return sorted_nodes.mapInArrow(run, "a binary, b binary, likeness float")
@@ -170,9 +171,11 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest) -> D
 
 def compared(
     table: pa.RecordBatch, begins: np.ndarray, fresh: int, reach: int, least: float, threshold: float, blocks: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(at, other, alike): rows from `fresh` on with rows up to `reach` before them in their run, of other roots.
 
+    They come nearest rows first, in parts of bounded size.
+
     Runs start where `begins` is true. Given blocks, only rows of different ones are compared, or those of
     negative ones with all.
     """
@@ -180,7 +183,7 @@ def compared(
     sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(count, -1)
     roots = np.asarray(pc.dictionary_encode(table.column("root")).indices)
     first = np.maximum.accumulate(np.where(begins, np.arange(count), 0))
-    rows, found = np.arange(fresh, count), []
+    rows, found, held = np.arange(fresh, count), [], 0
     for back in range(1, min(reach, count - 1) + 1):
         rows = rows[rows - first[rows] >= back]
         if not len(rows):
@@ -194,16 +197,33 @@ def compared(
         alike = (sigs[at] == sigs[at - back]).mean(1)
         good = alike >= least
         found.append((at[good], at[good] - back, alike[good]))
-    at, other, alike = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
-    return at, other, alike
+        held += int(good.sum())
+        if held > PAIRS_AT_ONCE:
+            yield tuple(np.concatenate(x) for x in zip(*found))
+            found, held = [], 0
+    if found:
+        yield tuple(np.concatenate(x) for x in zip(*found))
+
+
+def best_of(
+    found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], group: Callable[[np.ndarray, np.ndarray], np.ndarray], k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs `found` the k most alike of each group; of equal ones those that come first."""
+    none = np.zeros(0, np.int64)
+    best = (none, none, np.zeros(0))
+    for part in found:
+        best = tuple(np.concatenate(x) for x in zip(best, part))
+        keep = among_best(group(*best[:2]), best[2], k)
+        best = tuple(x[keep] for x in best)
+    return best
 
 
-def named_pairs(table: pa.RecordBatch, at: np.ndarray, other: np.ndarray, alike: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
+def named_pairs(table: pa.RecordBatch, at: np.ndarray, other: np.ndarray, alike: np.ndarray) -> pa.RecordBatch:
     nodes = table.column("node")
-    a, b = nodes.take(pa.array(at[keep])).to_pylist(), nodes.take(pa.array(other[keep])).to_pylist()
+    a, b = nodes.take(pa.array(at)).to_pylist(), nodes.take(pa.array(other)).to_pylist()
     return pa.RecordBatch.from_arrays(
         [pa.array([min(x) for x in zip(a, b)], pa.binary()), pa.array([max(x) for x in zip(a, b)], pa.binary()),
-         pa.array(alike[keep].astype(np.float32))], names=["a", "b", "likeness"],
+         pa.array(alike.astype(np.float32))], names=["a", "b", "likeness"],
     )
 
 
@@ -238,10 +258,11 @@ def crossing_pairs(rooted: DataFrame, threshold: float, forest: Forest, best: in
             begins = np.ones(table.num_rows, bool)
             begins[1:] = (run[1:] != run[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             blocks = np.where(i == j, -1, table.column("block").to_numpy())
-            at, other, alike = compared(table, begins, fresh, table.num_rows, threshold - forest.slack, threshold, blocks)
+            found = compared(table, begins, fresh, table.num_rows, threshold - forest.slack, threshold, blocks)
             many = table.column("many").to_numpy()
-            keep = np.ones(len(at), bool) if best is None else among_best(np.where(many[at] <= many[other], at, other), alike, best)
-            yield named_pairs(table, at, other, alike, keep)
+            parts = found if best is None else [best_of(found, lambda at, other: np.where(many[at] <= many[other], at, other), best)]
+            for part in parts:
+                yield named_pairs(table, *part)
             last = table.slice(int(np.flatnonzero(begins)[-1]))
 
     where, _ = settle(rooted.select("node", "sig", "root").mapInArrow(places, "run long, node binary, root binary"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 from odd_rows import no_documents, odd_documents
 
 from ledgerwatch.llm import near_dup
@@ -123,3 +125,21 @@ def test_components_of_chains_stars_and_loops(spark):
     assert len(rows) == 301 + 200 + 1 + 2
     assert sorted(map(len, of.values())) == [1, 2, 200, 301]
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_likely_pairs_are_held_in_bounded_parts(monkeypatch):
+    gen = np.random.default_rng(3)
+    count, k = 300, 4
+    sigs = [row.tobytes() for row in gen.integers(0, 2, (count, 128), dtype=np.uint8)]
+    names = [bytes([n // 256, n % 256]) for n in range(count)]
+    table = pa.RecordBatch.from_pydict({"n": np.full(count, 9), "sig": pa.array(sigs, pa.binary()), "root": pa.array(names, pa.binary())})
+    begins = np.arange(count) == 0
+    whole = [x for x in near_dup.compared(table, begins, 0, count, 0.4, 0.8)]
+    monkeypatch.setattr(near_dup, "PAIRS_AT_ONCE", 500)
+    parts = [x for x in near_dup.compared(table, begins, 0, count, 0.4, 0.8)]
+    assert len(whole) == 1 and len(parts) > 10 and all(len(at) <= 500 + count for at, _, _ in parts)
+    assert all((np.concatenate(x) == y).all() for x, y in zip(zip(*parts), whole[0]))
+    at, other, alike = whole[0]
+    keep = near_dup.among_best(at, alike, k)
+    best = near_dup.best_of(iter(parts), lambda at, other: at, k)
+    assert all((x == y[keep]).all() for x, y in zip(best, whole[0]))
