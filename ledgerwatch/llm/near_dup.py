@@ -8,8 +8,9 @@ all of them; where many do, it is those with the longest common prefixes, so the
 crowded a region is. Likely pairs are confirmed on their full sets.
 
 To confirm little, the best pair of each node comes first. Their links give first components. Then all
-nodes that share the first values of a tree are compared across components, however many they are: first
-the likeliest partners are confirmed and components contracted, at last every likely pair that is left.
+nodes that share the first values of a tree are compared across components, however many they are: those
+with a likely partner bring their full sets, and likely pairs are confirmed where they meet. Likely pairs
+are never rows: a family of near copies just short of the threshold has as many as its square.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class Forest:
     length: int = 12  # values that a tree sorts by
     reach: int = 32  # nodes before a node that it is compared with at first
     block: int = 4096  # nodes of a crowded run that are compared with as many others in one piece
-    best: int = 24  # partners of a node that are confirmed, in each tree, before all others
+    shingles: int = 1 << 21  # of the sets of a block, if it has fewer nodes
     slack: float = 0.14  # four deviations of the estimate, taken off the threshold
 
     def orders(self) -> np.ndarray:
@@ -170,18 +171,20 @@ def likely_pairs(sorted_nodes: DataFrame, threshold: float, forest: Forest) -> D
 
 
 def compared(
-    table: pa.RecordBatch, begins: np.ndarray, fresh: int, reach: int, least: float, threshold: float, blocks: np.ndarray | None = None
+    table: pa.RecordBatch, begins: np.ndarray, fresh: int, reach: int, least: float, threshold: float,
+    blocks: np.ndarray | None = None, roots: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(at, other, alike): rows from `fresh` on with rows up to `reach` before them in their run, of other roots.
 
     They come nearest rows first, in parts of bounded size.
 
     Runs start where `begins` is true. Given blocks, only rows of different ones are compared, or those of
-    negative ones with all.
+    negative ones with all. Given `roots`, they stand for those of the table and may be joined between parts.
     """
     count, sizes = table.num_rows, table.column("n").to_numpy()
     sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(count, -1)
-    roots = np.asarray(pc.dictionary_encode(table.column("root")).indices)
+    if roots is None:
+        roots = np.asarray(pc.dictionary_encode(table.column("root")).indices)
     first = np.maximum.accumulate(np.where(begins, np.arange(count), 0))
     rows, found, held = np.arange(fresh, count), [], 0
     for back in range(1, min(reach, count - 1) + 1):
@@ -227,14 +230,12 @@ def named_pairs(table: pa.RecordBatch, at: np.ndarray, other: np.ndarray, alike:
     )
 
 
-def crossing_pairs(rooted: DataFrame, threshold: float, forest: Forest, best: int | None) -> DataFrame:
-    """(a, b): likely pairs of nodes with other roots that share the first values of a tree.
+def crossing_rows(rooted: DataFrame, forest: Forest) -> DataFrame:
+    """(run, i, j, block, ...): nodes that share the first values of a tree with nodes of another root.
 
-    Runs of nodes with one root have none and go before signatures are moved. A run of more than
-    `forest.block` nodes is cut into blocks, and each two of them are a piece of their own, so no pair
-    is out of reach and no task holds a whole run. With `best` the node of the smaller component
-    brings so many partners in each piece, those most like it: a node just short of the threshold to a
-    thousand nodes of one component else brings them all.
+    Runs of nodes with one root go before signatures are moved. A run of more nodes than `forest.block`,
+    or of more shingles than `forest.shingles`, is cut into blocks, and each two of them, i and j, are a piece
+    of their own, so no pair is out of reach and no task holds a whole run.
     """
     orders = forest.orders()[:, : forest.depth]
 
@@ -245,41 +246,145 @@ def crossing_pairs(rooted: DataFrame, threshold: float, forest: Forest, best: in
                 run = np.full(batch.num_rows, t, np.int64)
                 for value in order:
                     run = run * 256 + sig[:, value]
-                yield pa.RecordBatch.from_arrays([pa.array(run), batch.column("node"), batch.column("root")], names=["run", "node", "root"])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: pa.RecordBatch | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fresh = 0 if last is None else last.num_rows
-            table = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            run, i, j = (table.column(c).to_numpy() for c in ("run", "i", "j"))
-            begins = np.ones(table.num_rows, bool)
-            begins[1:] = (run[1:] != run[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-            blocks = np.where(i == j, -1, table.column("block").to_numpy())
-            found = compared(table, begins, fresh, table.num_rows, threshold - forest.slack, threshold, blocks)
-            many = table.column("many").to_numpy()
-            parts = found if best is None else [best_of(found, lambda at, other: np.where(many[at] <= many[other], at, other), best)]
-            for part in parts:
-                yield named_pairs(table, *part)
-            last = table.slice(int(np.flatnonzero(begins)[-1]))
-
-    where, _ = settle(rooted.select("node", "sig", "root").mapInArrow(places, "run long, node binary, root binary"))
-    mixed_runs = where.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    pieces = where.join(mixed_runs.select("run", F.ceil(F.col("size") / forest.block).cast("int").alias("blocks")), "run").withColumn(
+                yield pa.RecordBatch.from_arrays([pa.array(run), *(batch.column(c) for c in ("node", "n", "root"))], names=["run", "node", "n", "root"])
+
+    where, _ = settle(rooted.select("node", "n", "sig", "root").mapInArrow(places, "run long, node binary, n long, root binary"))
+    mixed_runs = where.groupBy("run").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("root").alias("x"), F.max("root").alias("y")
+    ).where("x <> y")
+    blocks = F.ceil(F.greatest(F.col("size") / forest.block, F.col("shingles") / forest.shingles)).cast("int")
+    pieces = where.join(mixed_runs.select("run", blocks.alias("blocks")), "run").withColumn(
         "block", F.expr("pmod(xxhash64(node), blocks)").cast("int")
     )
     pieces = pieces.groupBy("node").agg(F.collect_list(F.struct("run", "blocks", "block")).alias("at"))
     # at most one place in each tree
-    rows = rooted.join(pieces, "node").withColumn("at", F.explode("at")).select("node", "n", "sig", "root", "many", "at.run", "at.blocks", "at.block")
+    rows = rooted.join(pieces, "node").withColumn("at", F.explode("at")).select(*rooted.columns, "at.run", "at.blocks", "at.block")
     rows = rows.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "run", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "n", "sig", "root", "many"
+        "run", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", *rooted.columns
     )
-    rows = rows.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j")
+    return rows
+
+
+def in_pieces(rows: DataFrame) -> DataFrame:
+    return rows.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j", "node")
+
+
+def whole_pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, begins): whole pieces in their order, as many at once as have `most` shingles, or one that has more."""
+    last: pa.RecordBatch | None = None
+
+    def cut(table: pa.RecordBatch, ended: bool) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        run, i, j = (table.column(c).to_numpy() for c in ("run", "i", "j"))
+        begins = np.ones(table.num_rows, bool)
+        begins[1:] = (run[1:] != run[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        heads = np.append(np.flatnonzero(begins), table.num_rows)
+        total = np.concatenate([[0], np.cumsum(table.column("n").to_numpy())])[heads]
+        at, end = 0, len(heads) - (1 if ended else 2)
+        while at < end:
+            to = min(end, max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1))
+            yield table.slice(heads[at], heads[to] - heads[at]), begins[heads[at] : heads[to]]
+            at = to
+        yield table.slice(heads[end]), begins[heads[end] :]
+
+    for batch in batches:
+        if batch.num_rows:
+            table = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            *whole, (last, _) = cut(table, False)
+            yield from whole
+    if last is not None:
+        yield from list(cut(last, True))[:-1]
+
+
+def crossing(
+    table: pa.RecordBatch, begins: np.ndarray, threshold: float, forest: Forest, roots: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """As `compared` on whole pieces, each pair in the first tree only whose first values it shares."""
+    orders = forest.orders()[:, : forest.depth]
+    sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    keys = sum(sigs[:, orders[:, k]].astype(np.int64) << (8 * k) for k in range(forest.depth))
+    tree = table.column("run").to_numpy() >> (8 * forest.depth)
+    blocks = np.where(table.column("i").to_numpy() == table.column("j").to_numpy(), -1, table.column("block").to_numpy())
+    for at, other, alike in compared(table, begins, 0, table.num_rows, threshold - forest.slack, threshold, blocks, roots):
+        first = (keys[at] == keys[other]).argmax(1) == tree[at]
+        yield at[first], other[first], alike[first]
+
+
+def crossing_pairs(rooted: DataFrame, threshold: float, forest: Forest, best: int | None) -> DataFrame:
+    """(a, b): likely pairs of nodes with other roots that share the first values of a tree, as rows.
+
+    With `best` the node of the smaller component (`many`) brings so many partners in each piece, those most
+    like it. `crossing_links` decides the same pairs without making them rows.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begins in whole_pieces(batches, forest.shingles):
+            found, many = crossing(table, begins, threshold, forest), table.column("many").to_numpy()
+            for part in found if best is None else [best_of(found, lambda at, other: np.where(many[at] <= many[other], at, other), best)]:
+                yield named_pairs(table, *part)
+
+    return in_pieces(crossing_rows(rooted, forest)).mapInArrow(scan, "a binary, b binary, likeness float").select("a", "b").distinct()
+
+
+def crossing_nodes(rooted: DataFrame, threshold: float, forest: Forest) -> DataFrame:
+    """The rows of `crossing_rows` that have a likely partner in their piece."""
+    rows = crossing_rows(rooted.select("node", "n", "sig", "root"), forest)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begins in whole_pieces(batches, forest.shingles):
+            met = np.zeros(table.num_rows, bool)
+            for at, other, _ in crossing(table, begins, threshold, forest):
+                met[at] = met[other] = True
+            yield table.filter(pa.array(met))
+
+    return in_pieces(rows).mapInArrow(scan, rows.schema)
+
+
+def crossing_links(nodes: DataFrame, sets: DataFrame, percent: int, forest: Forest) -> DataFrame:
+    """(a, b): links between the roots of the rows of `crossing_nodes`, confirmed on full sets where they meet.
+
+    Of links that join what others in the task have joined already, none but those come out, so there are no more
+    than nodes; every other likely pair is confirmed or refused.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begins in whole_pieces(batches, forest.shingles):
+            roots = np.array(pc.dictionary_encode(table.column("root")).indices)
+            found = crossing(table, begins, percent / 100, forest, roots)
+            links = list(joining(found, [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()], roots, percent))
+            at, other = (np.array(x, np.int64) for x in (zip(*links) if links else ((), ())))
+            yield named_pairs(table, at, other, np.ones(len(at)))
+
+    rows = in_pieces(nodes.join(sets.select("node", "members"), "node"))
     return rows.mapInArrow(scan, "a binary, b binary, likeness float").select("a", "b").distinct()
 
 
+def joining(
+    found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], sets: list[np.ndarray], roots: np.ndarray, percent: int
+) -> Iterator[tuple[int, int]]:
+    """(at, other) of the pairs `found` that are links on their full sets and join two roots; `roots` are joined with them."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    names, codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+    held = np.zeros(len(names), bool)
+    for at, other, alike in found:
+        order = np.lexsort((-alike, at))
+        for partners in np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else ():
+            a, others = at[partners[0]], other[partners]
+            own = codes[starts[a] : starts[a] + sizes[a]]
+            held[own] = True
+            while len(others := others[roots[others] != roots[a]]):
+                # some at a time: what one of them joins, the next need not
+                some, others = others[:64], others[64:]
+                ends = np.cumsum(sizes[some])
+                places = np.repeat(starts[some] - (ends - sizes[some]), sizes[some]) + np.arange(int(ends[-1]))
+                both = np.add.reduceat(held[codes[places]], ends - sizes[some], dtype=np.int64)
+                for b in some[100 * both >= percent * (sizes[a] + sizes[some] - both)]:
+                    if roots[a] != roots[b]:
+                        roots[roots == roots[b]] = roots[a]
+                        yield int(a), int(b)
+            held[own] = False
+
+
 # --- confirming ---------------------------------------------------------------------
 
 
@@ -346,28 +451,23 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest =
     pairs = best.select(F.least("node", "m.other").alias("a"), F.greatest("node", "m.other").alias("b")).distinct()
     named = reps.select("node", F.col("doc_id").alias("component_id"))
     nodes = reps.where("doc_id IS NOT NULL")
-    tried = sets = links = roots = None
-    # the likeliest pairs, the likeliest ones between components, and all others between components
-    for most in (1, forest.best, None):
-        if roots is not None:
-            sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("many"))
-            rooted = nodes.join(roots.join(sizes, "root"), "node", "left").withColumns(
-                {"root": F.coalesce("root", "node"), "many": F.coalesce("many", F.lit(1).cast("long"))}
-            )
-            pairs = crossing_pairs(rooted, threshold, forest, most).join(tried, ["a", "b"], "left_anti")
-        pairs, _ = settle(pairs)
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets, "node", "left_anti")
-        wanted, missing = settle(nodes.join(wanted, "node"))
-        if missing["rows"] or sets is None:
-            own, _ = settle(full_sets(docs, wanted, width))
-            sets = own if sets is None else sets.unionByName(own)
-        more, found = settle(confirmed(pairs, sets, percent))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if links is None or found["rows"]:
-            links = more if links is None else links.unionByName(more)
-            roots = components(links)
+    pairs, _ = settle(pairs)
+
+    def sets_of_nodes(some: DataFrame) -> DataFrame:
+        wanted, _ = settle(nodes.join(some.distinct(), "node"))
+        return settle(full_sets(docs, wanted, width))[0]
+
+    sets = sets_of_nodes(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+    links, _ = settle(confirmed(pairs, sets, percent))
+    roots = components(links)
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # all likely pairs between components
+    near, seen = settle(crossing_nodes(rooted, threshold, forest))
+    if seen["rows"]:
+        missing = near.select("node").join(sets, "node", "left_anti")
+        more, found = settle(crossing_links(near, sets.unionByName(sets_of_nodes(missing)), percent, forest))
+        if found["rows"]:
+            roots = components(links.unionByName(more))
     classes = named.join(roots, "node")
     least = classes.groupBy("root").agg(F.min("component_id").alias("least"))
     linked = classes.join(least, "root").select("node", "least")

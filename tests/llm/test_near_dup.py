@@ -143,3 +143,64 @@ def test_likely_pairs_are_held_in_bounded_parts(monkeypatch):
     keep = near_dup.among_best(at, alike, k)
     best = near_dup.best_of(iter(parts), lambda at, other: at, k)
     assert all((x == y[keep]).all() for x, y in zip(best, whole[0]))
+
+
+def family(rng, count, others):
+    """Texts that share 80 words in order, each with so many of its own at places of its own."""
+    base = [f"b{k}" for k in range(80)]
+    texts = []
+    for k in range(count):
+        own = list(base)
+        for n, place in enumerate(rng.sample(range(0, 80, 3), others)):
+            own[place] = f"x{k}y{n}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_pairs_just_short_of_the_threshold_are_no_rows(spark, monkeypatch):
+    rng = random.Random(9)
+    # 0.7 to 0.85 with each other: nearly all pairs are likely, some are links
+    rows = [(k, t) for k, t in enumerate(family(rng, 150, 5) + family(rng, 150, 4))]
+    met, confirmed = [], near_dup.confirmed
+
+    def counted(pairs, sets, percent):
+        met.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dup, "confirmed", counted)
+    check(spark, rows, 2, 80)
+    assert sum(met) <= len(rows)
+
+
+def test_links_that_join_are_those_of_all_pairs():
+    gen = np.random.default_rng(4)
+    base = gen.integers(1 << 60, size=120, dtype=np.uint64)
+    sets = []
+    for _ in range(90):
+        own = base.copy()
+        places = gen.choice(120, gen.integers(5, 30), replace=False)
+        own[places] = gen.integers(1 << 60, size=len(places), dtype=np.uint64)
+        sets.append(np.unique(own))
+    at, other = np.tril_indices(90, -1)
+    links = [(a, b) for a, b in zip(at, other) if 100 * len(both := np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - len(both))]
+    want = np.arange(90)
+    for a, b in links:
+        want[want == want[a]] = want[b]
+    alike = np.ones(len(at))
+    parts = [(at[k::3], other[k::3], alike[k::3]) for k in range(3)]
+    roots = np.arange(90)
+    got = list(near_dup.joining(iter(parts), sets, roots, 80))
+    groups_of = [sorted(map(tuple, {r: [int(k) for k in np.flatnonzero(x == r)] for r in x}.values())) for x in (want, roots)]
+    assert groups_of[0] == groups_of[1] and 1 < len(groups_of[0]) < 90
+    assert set(got) <= set(links) and len(got) == 90 - len(groups_of[0])
+
+
+def test_pieces_come_whole_and_a_few_at_once():
+    sizes = [3, 1, 40, 2, 2, 7, 1]
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    table = pa.RecordBatch.from_pydict({"run": run, "i": run * 0, "j": run * 0, "n": run * 0 + 5})
+    for step in (1, 4, 100):
+        got = list(near_dup.whole_pieces((table.slice(k, step) for k in range(0, len(run), step)), 30))
+        assert [r for rows, _ in got for r in rows.column("run").to_pylist()] == run.tolist()
+        assert all(5 * rows.num_rows <= 30 or begins.sum() == 1 for rows, begins in got)
+        assert sum(int(begins.sum()) for _, begins in got) == len(sizes)
