@@ -74,7 +74,7 @@ def test_all_queries_with_sql(spark, sf_dir):
     from ledgerwatch.llm.queries import ORACLES, QUERIES
 
     con = duckdb.connect()
-    for name in ("documents", "pages", "embeddings"):
+    for name in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     for name, sql in ORACLES.items():
         df = QUERIES[name](spark, sf_dir)
