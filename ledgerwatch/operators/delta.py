@@ -149,6 +149,14 @@ class DeltaStore:
     def _pairs(self, rows: DataFrame, rule_id: int, fails: bool = True) -> DataFrame:
         return rows.select(F.lit(rule_id).alias("rule_id"), "txn_id", F.lit(fails).alias("fails"))
 
+    def _verdicts(self, rows: DataFrame, codes: dict[str, int], tests: dict[str, tuple[str, bool]]) -> DataFrame:
+        """The changes that tests on each row tell, in one pass over them: a test and whether rows that meet it fail."""
+        found = [
+            F.when(F.expr(test), F.struct(F.lit(codes[code]).alias("rule_id"), F.lit(fails).alias("fails")))
+            for code, (test, fails) in tests.items() if code in codes
+        ]
+        return rows.select(F.explode(F.array(*found)).alias("v"), "txn_id").where("v IS NOT NULL").select("v.rule_id", "txn_id", "v.fails")
+
     def _with_old(self, table: str, fresh: DataFrame) -> DataFrame:
         """The new rows of a table and the old ones of their parts, marked `fresh`."""
         old = self.tables[table].read(values(fresh, "part"))
@@ -310,7 +318,7 @@ class DeltaStore:
     def _accounts(self, fact: DataFrame | None, customer_master: DataFrame | None) -> list[DataFrame]:
         """New rows are checked against the accounts; rows of accounts that come in or repeat are looked up."""
         codes = self._codes(ACCOUNT)
-        tests = {"ORPHAN_ORIG": "orphan AND origin", "ORPHAN_DEST": "orphan AND NOT origin", "DUP_CUSTOMER_MASTER": "repeated"}
+        tests = {"ORPHAN_ORIG": ("orphan AND origin", True), "ORPHAN_DEST": ("orphan AND NOT origin", True), "DUP_CUSTOMER_MASTER": ("repeated", True)}
         accounts, parties = self.tables["accounts"], self.tables["parties"]
         changes = []
         if customer_master is not None:
@@ -329,11 +337,8 @@ class DeltaStore:
             counts = held.groupBy("account").agg(F.count(F.lit(1)).alias("n"))
             lookup = make_lookup(merged.drop("part").join(counts, "account"), ("account",), self.limits)
             met = join_back(held, lookup)
-            ends = {"ORPHAN_ORIG": "known AND origin", "ORPHAN_DEST": "known AND NOT origin"}
-            changes += [self._pairs(met.where(test), codes[code], False) for code, test in ends.items() if code in codes]
-            if "DUP_CUSTOMER_MASTER" in codes:
-                changes.append(self._pairs(met.where("repeated"), codes["DUP_CUSTOMER_MASTER"]))
-            changes = [settle(stacked(changes))[0]] if changes else []  # before the parties of this run come in
+            ends = {"ORPHAN_ORIG": ("known AND origin", False), "ORPHAN_DEST": ("known AND NOT origin", False), "DUP_CUSTOMER_MASTER": ("repeated", True)}
+            changes = [settle(self._verdicts(met, codes, ends))[0]]  # before the parties of this run come in
         if fact is not None:
             sides = [F.struct(F.col(c).alias("account"), F.lit(c == "name_orig").alias("origin")) for c in ("name_orig", "name_dest")]
             rows = fact.select("txn_id", F.explode(F.array(*sides)).alias("side")).select("side.*", "txn_id").where("account IS NOT NULL")
@@ -341,8 +346,7 @@ class DeltaStore:
             known = accounts.read().groupBy("account").agg(F.sum("copies").alias("copies"))
             found = used.drop("part").join(known, "account", "left").select("account", "n", *account_flags(F.col("copies")))
             lookup = make_lookup(found.where("orphan OR repeated"), ("account",), self.limits)
-            met = join_back(rows, lookup)
-            changes += [self._pairs(met.where(test), codes[code]) for code, test in tests.items() if code in codes]
+            changes.append(self._verdicts(join_back(rows, lookup), codes, tests))
             parties.append(rows.withColumn("part", hash_part("account")))
         return changes
 

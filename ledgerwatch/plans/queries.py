@@ -30,6 +30,7 @@ from ledgerwatch.plans import testbed as tb
 from ledgerwatch.plans.run import reset_store, run_rules, score_transactions, store_pipeline
 from ledgerwatch.session import scratch_root, settle
 from ledgerwatch.sources import tables
+from ledgerwatch.sources.parts import Parts
 from ledgerwatch.sources.schemas import EXCEPTIONS, SUMMARIES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,21 +311,25 @@ def exceptions_incremental(spark, sf_dir):
 CUTS = 10
 
 
-def _cut(rows: DataFrame, *key: str) -> DataFrame:
-    return rows.withColumn("_cut", F.pmod(F.xxhash64(*key), F.lit(CUTS)))
+def _in_cuts(rows: DataFrame, *key: str) -> Parts:
+    """The rows in parts by cut, so that a run opens the files of its own."""
+    spark = rows.sparkSession
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    cuts = Parts(spark, scratch_path(spark, "cuts"), f"{columns}, part bigint").create()
+    cuts.append(rows.withColumn("part", F.pmod(F.xxhash64(*key), F.lit(CUTS))))
+    return cuts
 
 
 def exceptions_by_delta(spark, sf_dir):
     """All rules over ten cuts of the three feeds as they come in, late settlements and accounts among them."""
     wh = tb.warehouse(spark, sf_dir)
-    fact, _ = settle(_cut(wh.fact, "txn_id"))
-    paid, _ = settle(_cut(wh.settlements, "settlement_ref", "txn_id"))
-    master, _ = settle(_cut(wh.customer_master, "account_id", "opened_date"))
+    fact, paid = _in_cuts(wh.fact, "txn_id"), _in_cuts(wh.settlements, "settlement_ref", "txn_id")
+    master = _in_cuts(wh.customer_master, "account_id", "opened_date")
     store = DeltaStore(spark, scratch_path(spark, "delta"), RULES, hours=168)
     for k in range(CUTS):
-        mine = [rows.where(F.col("_cut") == k).drop("_cut") for rows in (fact, paid)]
+        mine = [cuts.read([k]).drop("part") for cuts in (fact, paid)]
         # accounts come in three times, so that rows wait for theirs
-        some = master.where(F.col("_cut") % 3 == k // 4).drop("_cut") if k % 4 == 0 else None
+        some = master.read([j for j in range(CUTS) if j % 3 == k // 4]).drop("part") if k % 4 == 0 else None
         store.apply(k, AS_OF, *mine, some)
     return plain(store.failing())
 

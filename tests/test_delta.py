@@ -106,3 +106,38 @@ def test_queries_and_models_are_refused(spark, tmp_path):
 
     with pytest.raises(ValueError, match="ANOMALY_IFOREST"):
         DeltaStore(spark, str(tmp_path / "delta"), set_active(RULES, "ANOMALY_IFOREST"))
+
+
+def files_read(frame):
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().apply(0).metrics().apply("numFiles").value()
+
+
+def test_a_run_opens_the_files_of_its_own_cut(spark, tmp_path, monkeypatch):
+    from ledgerwatch.plans import queries
+
+    orders = [(k, k % 9, 10.0 * k) for k in range(200)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, 0, "A") for k in range(9)], "c_custkey bigint, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "X")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    seen = {"fact": [], "paid": []}
+
+    def apply(self, run, as_of, fact, settlements, customer_master):
+        for name, frame in (("fact", fact), ("paid", settlements)):
+            seen[name].append((frame.count(), files_read(frame), len(frame.inputFiles())))
+
+    monkeypatch.setattr(queries.DeltaStore, "apply", apply)
+    queries.exceptions_by_delta(spark, str(tmp_path))
+    wh = queries.tb.warehouse(spark, str(tmp_path))
+    for name, rows in (("fact", wh.fact), ("paid", wh.settlements)):
+        counts, opened, files = zip(*seen[name])
+        assert sum(counts) == rows.count()
+        assert sum(opened) == files[0]
+
+
+def test_account_verdicts_pass_over_the_rows_once(spark, tmp_path):
+    store = DeltaStore(spark, str(tmp_path / "delta"), RULES)
+    rows = spark.createDataFrame([(1, True, False), (2, True, True), (3, False, None), (None, None, True)], "txn_id bigint, a boolean, b boolean")
+    found = store._verdicts(rows, {"A": 7, "B": 8, "C": 9}, {"A": ("a", True), "B": ("a AND NOT b", False), "D": ("b", True)})
+    assert {tuple(r) for r in found.collect()} == {(7, 1, True), (7, 2, True), (8, 1, False)}
