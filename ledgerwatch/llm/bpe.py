@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm.common import gathered, slices
 
 LEXICON_CHUNKS = 20_000  # most frequent chunks that are compiled; rarer words are merged, with the same ids
-CACHE = 250_000  # texts between spaces whose ids a task remembers, twice, and as many words
-NEVER = 1 << 40
+CACHE = 500_000  # texts between spaces and words whose ids a task remembers, twice
+NEVER = (1 << 31) - 1
 SPREAD = 2654435769  # 2^32 over the golden ratio, spreads automaton keys
 
 # The word pattern of the byte-level tokenizer.
@@ -77,7 +77,7 @@ class Tokenizer:
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
-        self.made = np.array([made for _, made in self.merges.values()], np.int64)  # by rank
+        self.made = np.array([made for _, made in self.merges.values()], np.int32)  # by rank
         self.slots = self._hashed()
         self.cut = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
@@ -96,10 +96,10 @@ class Tokenizer:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place of each pair in the merge list, NEVER if it is not in it or has a part below 0."""
-        pair = left << 20 | right
-        out = np.full(pair.shape, NEVER, np.int64)
-        open_ = np.flatnonzero((left.ravel() >= 0) & (right.ravel() >= 0))
-        keys = pair.ravel()[open_]
+        out = np.full(left.shape, NEVER, np.int32)
+        left, right = left.ravel(), right.ravel()
+        open_ = np.flatnonzero((left >= 0) & (right >= 0))
+        keys = left[open_].astype(np.int64) << 20 | right[open_]
         at = keys * SPREAD >> 12 & (len(self.slots) - 1)
         flat = out.ravel()
         while len(open_):
@@ -108,7 +108,7 @@ class Tokenizer:
             flat[open_[same]] = self.slots[at[same], 1]
             more = ~same & (seen >= 0)
             open_, keys, at = open_[more], keys[more], (at[more] + 1) & (len(self.slots) - 1)
-        return flat.reshape(pair.shape)
+        return out
 
     def merge_all(self, words: list[bytes]) -> list[bytes]:
         """Ids of many words, merged side by side: in each step every word joins its earliest pair."""
@@ -116,41 +116,42 @@ class Tokenizer:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         for low, high in ((0, 8), (8, 16), (16, 32)):
             rows = np.flatnonzero((sizes > low) & (sizes <= high))
-            for start in range(0, len(rows), 1 << 14):
-                self._side_by_side(words, rows[start : start + (1 << 14)], sizes, high, out)
+            for start in range(0, len(rows), 1 << 12):  # what is merged at once stays in a processor's cache
+                self._side_by_side(words, rows[start : start + (1 << 12)], sizes, high, out)
         for k in np.flatnonzero(sizes > 32):
             out[k] = np.array(self.merge(words[k]), "<u4").tobytes()
         return out
 
     def _side_by_side(self, words: list[bytes], rows: np.ndarray, sizes: np.ndarray, width: int, out: list) -> None:
-        columns = np.arange(width)
-        ids = np.full((len(rows), width), -1, np.int64)
-        ids[columns < sizes[rows, None]] = np.array(self.bytes)[
+        # linked lists, one in each row; the column behind the last place is their end and has no id
+        ids = np.full((len(rows), width + 1), -1, np.int32)
+        ids[np.arange(width + 1) < sizes[rows, None]] = np.array(self.bytes, np.int32)[
             np.frombuffer(b"".join(words[k] for k in rows), np.uint8)
         ]
-        ranks = self.ranks(ids[:, :-1], ids[:, 1:])
+        ranks = np.full(ids.shape, NEVER, np.int32)
+        ranks[:, :-1] = self.ranks(ids[:, :-1], ids[:, 1:])
+        after, before = (np.tile(places.astype(np.int8), (len(rows), 1)) for places in (
+            np.minimum(np.arange(1, width + 2), width), np.concatenate([[width], np.arange(width)])
+        ))
         while len(rows):
+            each = np.arange(len(rows))
             at = ranks.argmin(1)
-            best = ranks[np.arange(len(rows)), at]
+            best = ranks[each, at]
             live = best < NEVER
-            done = ids[~live]
-            ends = np.cumsum((done >= 0).sum(1)) * 4
-            raw, last = done[done >= 0].astype("<u4").tobytes(), 0
-            for k, end in zip(rows[~live].tolist(), ends.tolist()):
-                out[k], last = raw[last:end], end
-            rows, ids, ranks, at, best = rows[live], ids[live], ranks[live], at[live], best[live]
-            if not len(rows):
-                break
-            each = np.arange(len(rows))
-            moved = np.minimum(columns + (columns > at[:, None]), width - 1)
-            ids = np.take_along_axis(ids, moved, 1)
-            ids[:, -1] = -1
-            ids[each, at] = self.made[best]
-            ranks = np.take_along_axis(ranks, np.minimum(moved[:, :-1], width - 2), 1)
-            ranks[:, -1] = NEVER
-            for near in (at - 1, at):
-                own = np.flatnonzero((near >= 0) & (near < width - 1))
-                ranks[own, near[own]] = self.ranks(ids[own, near[own]], ids[own, near[own] + 1])
+            if not live.all():
+                done = ids[~live]
+                ends = np.cumsum((done >= 0).sum(1)) * 4
+                raw, last = done[done >= 0].astype("<u4").tobytes(), 0
+                for k, end in zip(rows[~live].tolist(), ends.tolist()):
+                    out[k], last = raw[last:end], end
+                rows, ids, ranks, after, before, at, best = (x[live] for x in (rows, ids, ranks, after, before, at, best))
+                each = each[: len(rows)]
+            gone = after[each, at]
+            behind, ahead = after[each, gone], before[each, at]
+            ids[each, at], ids[each, gone], ranks[each, gone] = self.made[best], -1, NEVER
+            after[each, at], before[each, behind] = behind, at
+            ranks[each, at] = self.ranks(ids[each, at], ids[each, behind])
+            ranks[each, ahead] = self.ranks(ids[each, ahead], ids[each, at])
 
     def merge(self, word: bytes) -> list[int]:
         """Join the earliest pair of the merge list until none is left, by a heap over a linked list."""
@@ -286,18 +287,21 @@ class Remembered:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def get(self, key: str) -> bytes | None:
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.young[key] = found
+    def get_all(self, keys: list[str]) -> list[bytes | None]:
+        found, old = list(map(self.young.get, keys)), self.old
+        if old:
+            for k in [k for k, ids in enumerate(found) if ids is None]:
+                if (ids := old.get(keys[k])) is not None:
+                    found[k] = self.young[keys[k]] = ids
         return found
 
-    def put(self, pairs: Iterable[tuple[str, bytes]]) -> None:
+    def put_all(self, keys: list[str], found: list[bytes]) -> None:
         if len(self.young) > self.size:
             self.young, self.old = {}, self.young
-        self.young.update(pair for pair in pairs if len(pair[0]) < 64)
+        if max(map(len, keys), default=0) < 64:
+            self.young.update(zip(keys, found))
+        else:
+            self.young.update((key, ids) for key, ids in zip(keys, found) if len(key) < 64)
 
 
 class Encoder:
@@ -305,30 +309,33 @@ class Encoder:
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon | None):
         self.tokenizer, self.lexicon = tokenizer, lexicon
-        self.chunks, self.words = Remembered(CACHE), Remembered(CACHE)
-
-    def learn(self, chunks: list[str], heads: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of chunks with a space before them, if they begin with no line end, and of heads as they are."""
-        forms = [words_of(chunk if chunk[:1] == "\n" else " " + chunk) for chunk in chunks]
-        own = [words_of(head) for head in heads]
-        words = self.looked_up(set(chain.from_iterable(forms)) | set(chain.from_iterable(own)))
-        found, at = [[b"".join(map(words.__getitem__, form)) for form in some] for some in (forms, own)]
-        self.chunks.put(zip(chunks, found))
-        return found, at
+        self.known = Remembered(CACHE)  # a text between spaces that is one word is remembered once
+
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of texts between spaces, each with the space or the line end before it, if one comes before it."""
+        forms = list(map(words_of, chunks))
+        words = self.looked_up(set(chain.from_iterable(forms)))
+        found = [b"".join(map(words.__getitem__, form)) for form in forms]
+        self.known.put_all(chunks, found)
+        return found
 
     def looked_up(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words: remembered, from the lexicon, or merged side by side."""
-        found = {w: ids for w in words if (ids := self.words.get(w)) is not None}
-        new = words - found.keys()
-        unseen = []
-        for word in new:
-            ids = self.lexicon.find(word.encode()) if self.lexicon else None
-            if ids is None:
-                unseen.append(word)
-            else:
-                found[word] = ids
-        found.update(zip(unseen, self.tokenizer.merge_all([w.encode() for w in unseen])))
-        self.words.put((w, found[w]) for w in new)
+        every = list(words)
+        found = self.known.get_all(every)
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(new, self.merged([every[k] for k in new])):
+            found[k] = ids
+        return dict(zip(every, found))
+
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not remembered."""
+        raw = [word.encode() for word in words]
+        found = list(map(self.lexicon.find, raw)) if self.lexicon else [None] * len(raw)
+        unseen = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(unseen, self.tokenizer.merge_all([raw[k] for k in unseen])):
+            found[k] = ids
+        self.known.put_all(words, found)
         return found
 
     def part(self, text: str) -> bytes:
@@ -365,13 +372,21 @@ class Encoder:
         bounds = (bounds - bounds[0]).astype(np.int64)
         coded = flat.dictionary_encode()
         chosen = np.array(coded.indices, np.int64)
-        chunks = coded.dictionary.to_pylist()
-        known = list(map(self.chunks.get, chunks))
+        none, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        before = pc.if_else(pc.starts_with(coded.dictionary, "\n"), none, space)
+        chunks = pc.binary_join_element_wise(before, coded.dictionary, none).to_pylist()
+        alpha = np.asarray(pc.ascii_is_alpha(coded.dictionary)).tolist()  # letters alone are one word
+        known = self.known.get_all(chunks)
         new = [k for k, ids in enumerate(known) if ids is None]
+        plain = [k for k in new if alpha[k]]
+        for k, ids in zip(plain, self.merged([chunks[k] for k in plain])):
+            known[k] = ids
+        new = [k for k in new if not alpha[k]]
         heads = flat.take(pa.array(bounds[:-1])).to_pylist()  # no space comes before the first chunk
-        learned, own = self.learn([chunks[k] for k in new], heads)
+        learned = self.learn([chunks[k] for k in new] + heads)
         for k, ids in zip(new, learned):
             known[k] = ids
+        own = learned[len(new) :]
         own = [odd.get(k, ids) for k, ids in enumerate(own)]
         chosen[bounds[:-1]] = len(known) + np.arange(len(own))
         return gathered(known + own, chosen, bounds, 4)

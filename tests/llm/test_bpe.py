@@ -75,3 +75,23 @@ def test_decode_replaces_what_is_no_text(spark):
     rows.append((4, np.array([half], "<u4").tobytes()))
     got = {r.doc_id: r.text for r in bpe.decode(spark.createDataFrame(rows, "doc_id long, ids binary"), PATH).collect()}
     assert got[2] is None and got[3] == "" and got[4] == "�"
+
+
+def test_letters_alone_are_merged_once_and_need_no_pattern(monkeypatch):
+    own, seen, merged = bpe.Encoder(bpe.Tokenizer(PATH), None), [], []
+    words_of, merge_all = bpe.words_of, own.tokenizer.merge_all
+    monkeypatch.setattr(bpe, "words_of", lambda text: seen.append(text) or words_of(text))
+    monkeypatch.setattr(own.tokenizer, "merge_all", lambda words: merged.extend(words) or merge_all(words))
+    texts = ["of zyxwv qrstu, and\nzyxwv", "on qrstu zyxwv, or"]
+    library = Tokenizer.from_file(PATH)
+    assert [ids(g) for g in own.encode_all(pa.array(texts)).to_pylist()] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not {" zyxwv", " qrstu", " and", " or"} & set(seen)
+    assert sorted(merged) == sorted(set(merged))
+    own.encode_all(pa.array(["a zyxwv\nqrstu"]))
+    assert merged.count(b" zyxwv") == 1
+
+
+def test_words_merged_side_by_side_are_those_merged_alone():
+    tokenizer, rng = bpe.Tokenizer(PATH), np.random.default_rng(5)
+    words = [bytes(rng.choice(list(b" aeinorst\xc3\xa9"), size).tolist()) for size in (1, 2, 7, 8, 9, 15, 16, 17, 31, 32, 33) for _ in range(60)]
+    assert tokenizer.merge_all(words) == [np.array(tokenizer.merge(w), "<u4").tobytes() for w in words]
