@@ -34,3 +34,12 @@ def test_shingles_of_short_texts():
 def test_gathered_puts_pieces_together():
     got = common.gathered([b"ab", b"", b"c"], np.array([0, 2, 1, 0]), np.array([0, 2, 2, 4]))
     assert got.to_pylist() == [b"abc", b"", b"ab"]
+
+
+def test_words_hash_to_what_pandas_has_for_them():
+    from pandas.util import hash_array
+
+    words = ["", "a", "abcdefg", "abcdefgh", "é" * 9, "日本語の文章", "x" * 255, "x" * 256, "x" * 5000, *(f"word{k}" * (k % 40) for k in range(500))]
+    for array in (pa.array(words * 2), pa.array(words, pa.large_string())[2:300], pa.array([""]), pa.array(["y" * 300])):
+        want = hash_array(np.asarray(array.to_pylist(), dtype=object), categorize=False)
+        assert (common.word_hashes(array) == want).all()
